@@ -1,4 +1,4 @@
-"""Confusion matrix family, all from one (true, predicted) count table."""
+"""Confusion matrix family, all from one (actual, predicted) count table."""
 
 from __future__ import annotations
 
@@ -9,36 +9,36 @@ from pyspark.sql import functions as F
 from orderlens.functions import scoring as S
 
 
-def pair_counts(df: DataFrame, true: str, predicted: str) -> DataFrame:
+def pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """The only pass over the predictions."""
-    return df.groupBy(F.col(true).alias("true"), F.col(predicted).alias("predicted")).agg(
+    return df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count("*").alias("n"))
 
 
 def confusion_cells(pairs: DataFrame, classes: list) -> DataFrame:
     """All k x k cells in long form, zero cells included."""
     spark = pairs.sparkSession
-    kind = pairs.schema["true"].dataType.simpleString()
+    kind = pairs.schema["actual"].dataType.simpleString()
     grid = spark.createDataFrame(
-        [(t, p) for t in classes for p in classes], f"true {kind}, predicted {kind}")
-    return grid.join(pairs, ["true", "predicted"], "left").select(
-        "true", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
+        [(t, p) for t in classes for p in classes], f"actual {kind}, predicted {kind}")
+    return grid.join(pairs, ["actual", "predicted"], "left").select(
+        "actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def confusion_matrix(pairs: DataFrame, classes: list) -> DataFrame:
-    """One row per true class, one column per predicted class."""
-    return confusion_cells(pairs, classes).groupBy("true").pivot(
+    """One row per actual class, one column per predicted class."""
+    return confusion_cells(pairs, classes).groupBy("actual").pivot(
         "predicted", classes).agg(F.sum("n")).select(
-        "true", *[F.col(str(c)).alias(f"pred_{c}") for c in classes])
+        "actual", *[F.col(str(c)).alias(f"pred_{c}") for c in classes])
 
 
 def per_class_metrics(pairs: DataFrame, classes: list) -> DataFrame:
     """Precision, recall, F1 and support of every class, zero where undefined."""
     cells = confusion_cells(pairs, classes)
     both = F.array(
-        F.struct(F.col("true").alias("class"), F.col("n").alias("support"),
+        F.struct(F.col("actual").alias("class"), F.col("n").alias("support"),
                  F.lit(0).cast("bigint").alias("called"),
-                 F.when(F.col("true") == F.col("predicted"), F.col("n"))
+                 F.when(F.col("actual") == F.col("predicted"), F.col("n"))
                  .otherwise(F.lit(0)).alias("tp")),
         F.struct(F.col("predicted").alias("class"), F.lit(0).cast("bigint").alias("support"),
                  F.col("n").alias("called"), F.lit(0).cast("bigint").alias("tp")))
@@ -58,7 +58,7 @@ def classification_report(pairs: DataFrame, classes: list) -> DataFrame:
     """Accuracy, macro and support-weighted averages."""
     per = per_class_metrics(pairs, classes)
     acc = pairs.agg(S.guarded_ratio(
-        F.sum(F.when(F.col("true") == F.col("predicted"), F.col("n")).otherwise(0)),
+        F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0)),
         F.sum("n")).alias("a"))
 
     def weighted(c: str):
@@ -74,25 +74,25 @@ def classification_report(pairs: DataFrame, classes: list) -> DataFrame:
 
 
 def confusion_pairs(pairs: DataFrame, top: int = 6) -> DataFrame:
-    """Largest directed confusions; ties go to the smaller (true, predicted)."""
+    """Largest directed confusions; ties go to the smaller (actual, predicted)."""
     return (
-        pairs.where((F.col("true") != F.col("predicted")) & (F.col("n") > 0))
-        .orderBy(F.desc("n"), "true", "predicted").limit(top))
+        pairs.where((F.col("actual") != F.col("predicted")) & (F.col("n") > 0))
+        .orderBy(F.desc("n"), "actual", "predicted").limit(top))
 
 
 def undirected_pairs(pairs: DataFrame, top: int = 3) -> DataFrame:
     """Both directions of a confusion added up."""
-    wrong = pairs.where(F.col("true") != F.col("predicted"))
+    wrong = pairs.where(F.col("actual") != F.col("predicted"))
     return (
         wrong.groupBy(
-            F.least("true", "predicted").alias("class_a"),
-            F.greatest("true", "predicted").alias("class_b"))
+            F.least("actual", "predicted").alias("class_a"),
+            F.greatest("actual", "predicted").alias("class_b"))
         .agg(F.sum("n").alias("n"))
         .orderBy(F.desc("n"), "class_a", "class_b").limit(top))
 
 
-def agreement(df: DataFrame, true: str, predicted: str, name: str = "agrees") -> DataFrame:
-    return df.withColumn(name, F.col(predicted).eqNullSafe(F.col(true)).cast("int"))
+def agreement(df: DataFrame, actual: str, predicted: str, name: str = "agrees") -> DataFrame:
+    return df.withColumn(name, F.col(predicted).eqNullSafe(F.col(actual)).cast("int"))
 
 
 def first_per_class(df: DataFrame, label: str, order: str, k: int = 1) -> DataFrame:

@@ -74,7 +74,7 @@ scores AS (SELECT a.vec_id, a.label, b.vec_id AS exemplar, b.label AS predicted,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, exemplar) AS r
            FROM scores),
 nearest AS (SELECT vec_id, label, predicted, exemplar, s FROM ranked WHERE r = 1),
-pairs AS (SELECT label AS true, predicted, count(*) AS n FROM nearest GROUP BY label, predicted)"""
+pairs AS (SELECT label AS actual, predicted, count(*) AS n FROM nearest GROUP BY label, predicted)"""
 
 
 def _nearest(spark, sf):
@@ -111,24 +111,24 @@ def _pairs(spark, sf):
 
 CLASSES = list(range(10))
 CELLS = ("classes AS (SELECT CAST(i AS INTEGER) AS c FROM range(10) t(i)), "
-         "cells AS (SELECT a.c AS true, b.c AS predicted, coalesce(p.n, 0) AS n "
+         "cells AS (SELECT a.c AS actual, b.c AS predicted, coalesce(p.n, 0) AS n "
          "FROM classes a CROSS JOIN classes b LEFT JOIN pairs p "
-         "ON p.true = a.c AND p.predicted = b.c)")
+         "ON p.actual = a.c AND p.predicted = b.c)")
 _PIVOT = ", ".join(
     f"CAST(sum(CASE WHEN predicted = {c} THEN n ELSE 0 END) AS BIGINT) AS pred_{c}"
     for c in CLASSES)
 
 
-@queries.query(f"WITH {NEAREST}, {CELLS} SELECT true, {_PIVOT} FROM cells GROUP BY true")
+@queries.query(f"WITH {NEAREST}, {CELLS} SELECT actual, {_PIVOT} FROM cells GROUP BY actual")
 def confusion_matrix(spark, sf):
     return K.confusion_matrix(_pairs(spark, sf), CLASSES)
 
 
 PER_CLASS = f"""{NEAREST}, {CELLS},
 sums AS (SELECT c AS class,
-    (SELECT CAST(sum(n) AS BIGINT) FROM cells WHERE true = c) AS support,
+    (SELECT CAST(sum(n) AS BIGINT) FROM cells WHERE actual = c) AS support,
     (SELECT CAST(sum(n) AS BIGINT) FROM cells WHERE predicted = c) AS called,
-    (SELECT CAST(sum(n) AS BIGINT) FROM cells WHERE true = c AND predicted = c) AS tp
+    (SELECT CAST(sum(n) AS BIGINT) FROM cells WHERE actual = c AND predicted = c) AS tp
   FROM classes),
 per AS (SELECT class,
     round(coalesce(CAST(tp AS DOUBLE) / nullif(called, 0), 0.0), 6) AS precision,
@@ -148,7 +148,7 @@ _WEIGHTED = ", ".join(
 
 
 @queries.query(f"""WITH {PER_CLASS}
-  SELECT (SELECT round(CAST(sum(CASE WHEN true = predicted THEN n ELSE 0 END) AS DOUBLE)
+  SELECT (SELECT round(CAST(sum(CASE WHEN actual = predicted THEN n ELSE 0 END) AS DOUBLE)
           / sum(n), 6) FROM cells) AS accuracy,
     round(avg(precision), 5) AS macro_precision, round(avg(recall), 5) AS macro_recall,
     round(avg(f1), 5) AS macro_f1, {_WEIGHTED}, CAST(sum(support) AS BIGINT) AS support
@@ -157,16 +157,16 @@ def classification_report(spark, sf):
     return K.classification_report(_pairs(spark, sf), CLASSES)
 
 
-@queries.query(f"""WITH {NEAREST} SELECT * FROM pairs WHERE true <> predicted
-  ORDER BY n DESC, true, predicted LIMIT 6""")
+@queries.query(f"""WITH {NEAREST} SELECT * FROM pairs WHERE actual <> predicted
+  ORDER BY n DESC, actual, predicted LIMIT 6""")
 def confusion_pairs(spark, sf):
     return K.confusion_pairs(_pairs(spark, sf))
 
 
 @queries.query(f"""WITH {NEAREST}
-  SELECT least(true, predicted) AS class_a, greatest(true, predicted) AS class_b,
+  SELECT least(actual, predicted) AS class_a, greatest(actual, predicted) AS class_b,
          CAST(sum(n) AS BIGINT) AS n
-  FROM pairs WHERE true <> predicted GROUP BY ALL ORDER BY n DESC, class_a, class_b LIMIT 3""")
+  FROM pairs WHERE actual <> predicted GROUP BY ALL ORDER BY n DESC, class_a, class_b LIMIT 3""")
 def undirected_pairs(spark, sf):
     return K.undirected_pairs(_pairs(spark, sf))
 
