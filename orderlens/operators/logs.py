@@ -70,7 +70,7 @@ def parse_logs(files: DataFrame, content: str = "content") -> DataFrame:
         F.trim("turn_label").alias("turn_label"),
         F.nullif(F.trim(F.regexp_extract(body, r"(?m)^USER:[ \t]*(.+)$", 1)), F.lit(""))
         .alias("user"),
-        F.when(path != "", F.transform(F.split(path, "->"), F.trim)).alias("graph_path"),
+        F.when(path != "", F.transform(F.split(path, "->"), lambda p: F.trim(p))).alias("graph_path"),
         (F.regexp_extract(body, r"BLOCKED\s*:\s*(True|False)", 1) == "True").cast("int")
         .alias("blocked"),
         F.from_json(F.nullif(answer, F.lit("")), ANSWER).alias("response"),

@@ -122,37 +122,34 @@ def running_totals(df: DataFrame, key: list[str], order: list[str], bucket: Colu
     return out.drop("_b", *[f"_{p}_{n}" for n in totals for p in "vco"])
 
 
-def carry_forward(df: DataFrame, key: list[str], order: list[str], bucket: Column | str,
-                  values: list[str], suffix: str = "_carried",
-                  include_current: bool = True) -> DataFrame:
-    """Last non-NULL value so far per key, for several columns at once.
+def carry_forward(df: DataFrame, key: list[str], order: list[str], bucket: Column,
+                  values: list[str], before: bool = False) -> DataFrame:
+    """Last non-NULL value so far per key, for several columns at once, as ``<value>_now``.
 
     Inside a bucket an ordinary window; across buckets only the last value of each bucket
-    travels. ``include_current=False`` looks strictly before the row. A bucket given by
-    column name is kept, so that several calls in a row share one partitioning.
+    travels. ``before`` adds ``<value>_before``, which looks strictly before the row. The
+    input is read twice (rows and bucket table), so stage it when it is expensive.
     """
-    keep = isinstance(bucket, str)
-    b = bucket if keep else "_b"
-    keyed = df if keep else df.withColumn("_b", bucket)
-    within = W.partitionBy(*key, b).orderBy(*order)
-    frame = within.rowsBetween(*(UP_TO if include_current else BEFORE))
-    inner = keyed.select(
-        "*",
-        *[F.last(v, ignorenulls=True).over(frame).alias(f"_in_{v}") for v in values],
-        *[F.last(v, ignorenulls=True).over(within.rowsBetween(*UP_TO)).alias(f"_to_{v}")
-          for v in values],
-        F.row_number().over(within).alias("_n"))
-    per_bucket = inner.groupBy(*key, b).agg(
-        *[F.max_by(f"_to_{v}", "_n").alias(f"_last_{v}") for v in values])
-    across = W.partitionBy(*key).orderBy(b).rowsBetween(*BEFORE)
+    keyed = df.withColumn("_b", bucket)
+    within = W.partitionBy(*key, "_b").orderBy(*order)
+    frames = {"now": within.rowsBetween(*UP_TO)}
+    if before:
+        frames["before"] = within.rowsBetween(*BEFORE)
+    inner = keyed.select("*", *[
+        F.last(v, ignorenulls=True).over(frame).alias(f"_{name}_{v}")
+        for name, frame in frames.items() for v in values])
+    # The last value of a bucket, with NULLs skipped, straight from the rows.
+    per_bucket = keyed.groupBy(*key, "_b").agg(*[
+        F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(*order))).alias(f"_last_{v}")
+        for v in values])
+    across = W.partitionBy(*key).orderBy("_b").rowsBetween(*BEFORE)
     prior = per_bucket.select(
-        *key, b,
+        *key, "_b",
         *[F.last(f"_last_{v}", ignorenulls=True).over(across).alias(f"_prior_{v}")
           for v in values])
-    out = inner.join(prior, [*key, b]).select(
-        *keyed.columns,
-        *[F.coalesce(f"_in_{v}", f"_prior_{v}").alias(v + suffix) for v in values])
-    return out if keep else out.drop("_b")
+    return inner.join(prior, [*key, "_b"]).select(*df.columns, *[
+        F.coalesce(f"_{name}_{v}", f"_prior_{v}").alias(f"{v}_{name}")
+        for name in frames for v in values])
 
 
 def turn_number(df: DataFrame, key: list[str], order: list[str], bucket: Column,

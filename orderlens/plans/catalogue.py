@@ -6,7 +6,7 @@ from importlib import import_module
 
 from orderlens.plans.registry import Registry
 
-FAMILIES = ["risk", "vectors", "retrieval"]
+FAMILIES = ["risk", "vectors", "retrieval", "dialogue"]
 
 
 def all_queries() -> Registry:

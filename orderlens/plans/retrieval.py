@@ -372,7 +372,8 @@ def catalog_questions(spark, sf):
     return K.matched_products(questions(spark, sf), catalog(spark, sf))
 
 
-NAMES = "SELECT min(p_partkey) AS query_id, 'Are ' || p_name || 's returnable?' AS text FROM part GROUP BY p_name"
+NAMES = ("SELECT min(p_partkey) AS query_id, p_name || ' ' || p_brand AS text FROM part "
+         "GROUP BY p_name, p_brand")
 SEARCHABLE = (", texts AS (SELECT product_id AS doc_id, CAST(0 AS INTEGER) AS pos, product_name || ' -- ' || "
               "subcategory || ', ' || category || '. ' || description AS body FROM catalog)")
 
@@ -383,7 +384,8 @@ def product_search(spark, sf):
     products = catalog(spark, sf)
     rows = products.select(F.col("product_id").alias("doc_id"), F.lit(0).alias("pos"),
                            K.searchable_text().alias("chunk_text"))
-    wanted = products.groupBy("product_name").agg(F.min("product_id").alias("query_id")).select(
-        "query_id", F.format_string("Are %ss returnable?", "product_name").alias("text"))
+    wanted = products.groupBy("product_name", "description").agg(
+        F.min("product_id").alias("query_id")).select(
+        "query_id", F.concat_ws(" ", "product_name", "description").alias("text"))
     return K.search_products(R.LexicalIndex.build(rows), wanted).select(
         "query_id", F.col("doc_id").alias("product_id"), "score", "rank")

@@ -96,7 +96,8 @@ def documents(spark: SparkSession, path: str, pattern: str = "*.md",
     lines = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\r?\n")
     first = F.element_at(lines, 1)
     body = F.filter(
-        F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), F.trim),
+        F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))),
+                    lambda line: F.trim(line)),
         lambda s: s != "")
     parsed = raw.select(
         F.regexp_replace("file", r"\.[^.]*$", "").alias("id"),

@@ -58,8 +58,10 @@ def compare(spark, con, entry, folder: str) -> tuple[str, str]:
     if sorted(names) != sorted(df.columns):
         return ("COLUMNS", f"{sorted(df.columns)} vs {sorted(names)}")
     if mine != theirs:
-        bad = [(a, b) for a, b in zip(mine, theirs) if a != b][:3]
-        return ("DIFF", f"{len(mine)} vs {len(theirs)} rows {sorted(names)}; {bad}"[:1500])
+        cols = sorted(names)
+        bad = [{c: (str(x)[:200], str(y)[:200]) for c, x, y in zip(cols, a, b) if x != y}
+               for a, b in zip(mine, theirs) if a != b][:3]
+        return ("DIFF", f"{len(mine)} vs {len(theirs)} rows; {bad}"[:1500])
     kinds = {type(a) is type(b) for x, y in zip(mine, theirs) for a, b in zip(x, y)}
     return ("ok" if kinds <= {True} else "ok (types differ)", note)
 
