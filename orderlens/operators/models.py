@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -59,31 +61,39 @@ def score_frame(model: Transformer, df: DataFrame, name: str = "score") -> DataF
 
 
 def grid_search(train: DataFrame, identifier: str, spec: FeatureSpec, grid: dict | None = None,
-                folds: int = 5, seed: int = C.SPLIT_SEED) -> tuple[DataFrame, dict]:
+                folds: int = 5, seed: int = C.SPLIT_SEED,
+                parallelism: int = 4) -> tuple[DataFrame, dict]:
     """Forest settings x stratified folds, scored by exact AUC.
 
     Every fold fits its own preprocessing on its training part. The loop runs over fits,
-    not rows; each fit is one distributed job. All AUCs are computed together from one
-    scored frame per fold. Returns the fold table and the best setting.
+    not rows; ``parallelism`` of them run at a time. All AUCs are computed together from
+    one scored frame. Returns the fold table and the best setting.
     """
     grid = grid or DEFAULT_GRID
     label = spec.label
     folded = stratified_folds(train, identifier, label, folds, seed).persist()
     results = None
-    for k in range(folds):
-        part = folded.where(F.col("fold") != k)
-        prep = Preprocessor.fit(part, spec)
-        fit_on = prep.transform(part.withColumn("_weight", weight_column(part, label)))
-        fit_on = fit_on.select(label, "features", "_weight").persist()
-        held = prep.transform(folded.where(F.col("fold") == k))
-        scored = held.select(label, "features")
-        for trees, depth in product(grid["numTrees"], grid["maxDepth"]):
-            model = forest(label, num_trees=trees, max_depth=depth, seed=seed).fit(fit_on)
-            one = score_frame(model, scored).select(
-                F.lit(trees).alias("num_trees"), F.lit(depth).alias("max_depth"),
-                F.lit(k).alias("fold"), label, "score")
-            results = one if results is None else results.unionByName(one)
-        fit_on.unpersist()
+
+    def fit(job):
+        trees, depth, frame = job
+        return forest(label, num_trees=trees, max_depth=depth, seed=seed).fit(frame)
+
+    settings = list(product(grid["numTrees"], grid["maxDepth"]))
+    with ThreadPool(parallelism) as pool:
+        for k in range(folds):
+            part = folded.where(F.col("fold") != k)
+            prep = Preprocessor.fit(part, spec)
+            fit_on = prep.transform(part.withColumn("_weight", weight_column(part, label)))
+            fit_on = fit_on.select(label, "features", "_weight").persist()
+            held = prep.transform(folded.where(F.col("fold") == k)).select(label, "features")
+            models = pool.map(inheritable_thread_target(train.sparkSession)(fit),
+                              [(t, d, fit_on) for t, d in settings])
+            for (trees, depth), model in zip(settings, models):
+                one = score_frame(model, held).select(
+                    F.lit(trees).alias("num_trees"), F.lit(depth).alias("max_depth"),
+                    F.lit(k).alias("fold"), label, "score")
+                results = one if results is None else results.unionByName(one)
+            fit_on.unpersist()
     aucs = M.roc_auc(results, ["num_trees", "max_depth", "fold"], label=label).select(
         "num_trees", "max_depth", "fold", "auc")
     rows = bounded_rows(aucs, 10_000, "grid results")
