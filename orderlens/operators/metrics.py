@@ -14,7 +14,6 @@ from orderlens import constants as C
 from orderlens.functions import scoring as S
 from orderlens.operators.ordering import BEFORE, exact_positions
 
-FROM_HERE = (0, W.unboundedFollowing)
 SMALL_TIE = 1_000_000
 
 
@@ -36,18 +35,20 @@ def sweep(cube: DataFrame, by: list[str] | None = None) -> DataFrame:
     """
     by = by or []
     folded = cube.groupBy(*by, "step").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    # Every group gets all 41 steps plus the rows below the grid.
-    groups = folded.groupBy(*by).agg(F.sum("n").alias("n_all"), F.sum("pos").alias("pos_all"))
+    # At most 42 entries per group (41 steps and the rows below the grid), so a group fits
+    # in one row and the cumulative counts need neither a window nor a join.
+    groups = folded.groupBy(*by).agg(
+        F.sum("n").alias("n_all"), F.sum("pos").alias("pos_all"),
+        F.collect_list(F.struct("step", "n", "pos")).alias("_e"))
     steps = groups.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(C.GRID_POINTS - 1))))
-    if by:
-        joined = steps.join(folded, [*by, "step"], "left")
-    else:
-        joined = steps.join(folded, "step", "left")
-    down = _partition(by).orderBy("step").rowsBetween(*FROM_HERE)
-    counted = joined.select(
-        *by, "step", "n_all", "pos_all",
-        F.coalesce(F.sum("n").over(down), F.lit(0)).alias("n_flagged"),
-        F.coalesce(F.sum("pos").over(down), F.lit(0)).alias("tp"))
+
+    def reaching(name: str) -> Column:
+        kept = F.filter("_e", lambda e: e["step"] >= F.col("step"))
+        return F.aggregate(kept, F.lit(0).cast("bigint"), lambda acc, e: acc + e[name])
+
+    counted = steps.select(
+        *by, "step", "n_all", "pos_all", reaching("n").alias("n_flagged"),
+        reaching("pos").alias("tp"))
     tp, fp = F.col("tp"), F.col("n_flagged") - F.col("tp")
     fn = F.col("pos_all") - F.col("tp")
     tn = F.col("n_all") - F.col("pos_all") - fp
@@ -109,12 +110,11 @@ def roc_auc(df: DataFrame, by: list[str] | None = None, score: str = "score",
     Equal scores are counted together first, so a value that a third of the rows share is
     one row. The pair count is then built over three levels (score, 2**-20 wide cells,
     2**-10 wide cells): each level adds, for the negatives before a cell, positives inside
-    it. Only the last window has one group, and that group has at most 1025 rows. Counts
-    are decimals, so nothing is rounded before the final division.
+    it. Only the last window has one group, and that group has at most 1025 rows. Pair
+    counts are whole numbers in doubles: exact to 2**53 pairs, and to 15 digits beyond.
     """
     by = by or []
     y, s = F.col(label), F.col(score)
-    exact = "decimal(38,0)"
     distinct = df.groupBy(*by, s.alias("_s")).agg(
         F.sum(y.cast("bigint")).alias("pos"), F.sum((1 - y).cast("bigint")).alias("neg"))
     cells = distinct.select(
@@ -124,27 +124,21 @@ def roc_auc(df: DataFrame, by: list[str] | None = None, score: str = "score",
     def below(window) -> Column:
         return F.coalesce(F.sum("neg").over(window.rowsBetween(*BEFORE)), F.lit(0))
 
-    def product(a: Column, b: Column) -> Column:
-        return (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(exact)
-
     # Twice the pairs won: 2 * (negatives below) + (negatives tied), for every positive.
-    fine = cells.withColumn("won", product(F.col("pos"), 2 * below(
+    pos = F.col("pos").cast("double")
+    fine = cells.withColumn("won", pos * (2 * below(
         W.partitionBy(*by, "_c1", "_c2").orderBy("_s")) + F.col("neg")))
     for outer, order in ((["_c1"], "_c2"), ([], "_c1")):
-        keys = [*by, *outer, order]
-        level = fine.groupBy(*keys).agg(
-            F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-            F.sum("won").cast(exact).alias("inner"))
+        level = fine.groupBy(*by, *outer, order).agg(
+            F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("won").alias("inner"))
         window = _partition([*by, *outer]).orderBy(order)
-        fine = level.withColumn(
-            "won", (F.col("inner") + product(F.col("pos"), 2 * below(window))).cast(exact))
+        fine = level.withColumn("won", F.col("inner") + pos * 2 * below(window))
     total = fine.groupBy(*by).agg(
         F.sum("pos").alias("positives"), F.sum("neg").alias("negatives"),
-        F.sum("won").cast(exact).alias("won"))
+        F.sum("won").alias("won"))
     pairs = 2.0 * F.col("positives").cast("double") * F.col("negatives").cast("double")
     return total.select(
-        *by, "positives", "negatives",
-        F.round(F.try_divide(F.col("won").cast("double"), pairs), 6).alias("auc"))
+        *by, "positives", "negatives", F.round(F.try_divide("won", pairs), 6).alias("auc"))
 
 
 def subgroup_metrics(cube: DataFrame, dims: list[str], threshold: float) -> DataFrame:

@@ -36,18 +36,26 @@ def line_summary(lineitem: DataFrame) -> DataFrame:
         F.max("l_shipdate").alias("last_ship"))
 
 
-def order_features(orders: DataFrame, lineitem: DataFrame, customer: DataFrame) -> DataFrame:
-    """The order table of the feature contract.
+def labelled_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """One row per order with its line summary and the label.
 
-    History columns look strictly before the order, so no label leaks into them.
+    An order counts as returned when at least half of its lines were.
     """
-    lines = line_summary(lineitem)
     base = orders.select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
-    ).join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
-    labelled = base.withColumn(
+    ).join(line_summary(lineitem), F.col("o_orderkey") == F.col("l_orderkey"), "left").drop(
+        "l_orderkey")
+    return base.withColumn(
         "returned",
         F.coalesce((2 * F.col("n_returned_lines") >= F.col("n_lines")).cast("int"), F.lit(0)))
+
+
+def order_features(labelled: DataFrame, customer: DataFrame) -> DataFrame:
+    """The order table of the feature contract, from labelled orders.
+
+    History columns look strictly before the order, so no label leaks into them. The input
+    is read twice (see ``running_totals``); stage it when it comes from a large join.
+    """
     shopper = customer.select(
         F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_acctbal")
     history = running_totals(

@@ -165,13 +165,13 @@ _SLOTS = slots_sql("text")
         f"CASE WHEN {_SLOTS[f]} IS NOT NULL THEN '{f}' END" for f in sorted(C.FEATURES))}],
       lambda x: x IS NOT NULL), ',') AS found FROM turns""")
 def slot_extract(spark, sf):
-    turns = support_turns(order_history(spark, sf))
+    turns = spread(support_turns(staged(order_history(spark, sf))))
     slots = T.slot_columns(F.col("text"))
-    as_text = {f: c.cast("string") for f, c in slots.items()}
-    return turns.select(
+    read = turns.select(
         F.col("order_id").alias("source_order"), T.order_id(F.col("text")).alias("order_id"),
-        *[c.alias(f) for f, c in as_text.items()],
-        F.array_join(F.array_sort(F.map_keys(T.slot_map(slots))), ",").alias("found"))
+        *[c.cast("string").alias(f) for f, c in slots.items()])
+    found = T.slot_map({f: F.col(f) for f in slots})
+    return read.withColumn("found", F.array_join(F.array_sort(F.map_keys(found)), ","))
 
 
 _EXEMPLARS = ", ".join(
@@ -226,7 +226,7 @@ BLOCKED = "CASE WHEN " + matches_sql("text", "|".join(
     CASE WHEN {BLOCKED} = 1 THEN 'blocked' ELSE lane END AS route
   FROM turns JOIN classified USING (text)""")
 def intent_routing(spark, sf):
-    turns = G.guard(G.classify(support_turns(order_history(spark, sf))))
+    turns = G.guard(G.classify(spread(support_turns(staged(order_history(spark, sf))))))
     return G.route(turns).select(
         "conv_id", "turn", "matched_exemplar", "matched_intent", "similarity", "below_floor",
         "fine_intent", "lane", "runner_up_1", "runner_up_2", "route")
@@ -331,7 +331,8 @@ STATE_COLUMNS = f"""conv_id, turn, blocked, CASE WHEN override THEN 1 ELSE 0 END
 
 def _states(spark, sf):
     history = staged(order_history(spark, sf))
-    turns = G.guard(G.classify(support_turns(history).drop("order_id"))).drop("matches")
+    turns = spread(support_turns(history).drop("order_id"))
+    turns = G.guard(G.classify(turns)).drop("matches")
     own_topic = F.when((F.col("fine_intent") == "refund") | F.col("text").startswith("How long"),
                        "Refund timeline")
     read = ST.look_up_orders(

@@ -336,7 +336,8 @@ def subgroup_metrics(spark, sf):
     local_threshold, local_f1, local_recall, local_flagged,
     local_flagged - flagged AS extra_flagged, local_tp - tp AS recovered FROM gaps""")
 def subgroup_thresholds(spark, sf):
-    return M.subgroup_thresholds(M.score_cube(_scored(spark, sf), DIMS), DIMS, OPERATING)
+    cube = staged(M.score_cube(_scored(spark, sf), DIMS))
+    return M.subgroup_thresholds(cube, DIMS, OPERATING)
 
 
 BUCKET = f"""CASE WHEN score < {OPERATING} THEN 'Low' WHEN score < {OPERATING}::DOUBLE + 0.15::DOUBLE

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens import schemas as S
-from orderlens.operators.orders import order_features
+from orderlens.operators.orders import labelled_orders, order_features
+from orderlens.session import staged
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,7 +35,10 @@ def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
 
 
 def order_history(spark: SparkSession, folder: str) -> DataFrame:
-    return order_features(*tables(spark, folder, "orders", "lineitem", "customer"))
+    """The order table. The line table is scanned and shuffled once; its per-order result
+    is staged, because the history columns need two passes over it."""
+    orders, lineitem, customer = tables(spark, folder, "orders", "lineitem", "customer")
+    return order_features(staged(labelled_orders(orders, lineitem)), customer)
 
 
 def require_path(spark: SparkSession, path: str) -> None:
