@@ -41,6 +41,7 @@ def nested_chunks(chunk_table: DataFrame) -> DataFrame:
 # The row marker counts rows in the same pass as the terms; tokens are never empty.
 ROW_MARK = ""
 MAX_VOCABULARY = 1_000_000
+MAX_SENTENCES = 100_000
 
 
 def token_rows(rows: DataFrame, key: list[str], text: str) -> DataFrame:
@@ -235,16 +236,22 @@ def relevant_by_sentence(queries: DataFrame, chunk_table: DataFrame,
     """Answer key: documents that hold at least ``share`` of a passage's own sentences.
 
     An equi-join on the sentence; both sides are made distinct first, so copies within a
-    document count once.
+    document count once. The passages' sentences are broadcast within a checked size, so a
+    sentence that a third of the documents share is never shuffled; beyond it the join
+    handles hot sentences apart.
     """
     own = queries.select(
         "query_id", F.explode(F.array_distinct(T.sentences(F.col("text")))).alias("chunk_text"))
+    asked = own.groupBy("chunk_text").agg(F.collect_set("query_id").alias("_queries"))
+    rows = chunk_table.select("doc_id", "chunk_text")
+    if asked.limit(MAX_SENTENCES + 1).count() <= MAX_SENTENCES:
+        held = rows.join(F.broadcast(asked), "chunk_text")
+    else:
+        held = skewed_lookup(rows, asked, "chunk_text").where(F.col("_queries").isNotNull())
+    shared = held.distinct().select("doc_id", F.explode("_queries").alias("query_id")).groupBy(
+        "query_id", "doc_id").agg(F.count("*").alias("n_shared"))
     sizes = queries.select("query_id", F.size(F.array_distinct(T.sentences(F.col("text"))))
                            .alias("n_sentences"))
-    held = chunk_table.select("doc_id", "chunk_text").join(
-        own.select("chunk_text").distinct(), "chunk_text", "left_semi").distinct()
-    shared = held.join(own, "chunk_text").groupBy("query_id", "doc_id").agg(
-        F.count("*").alias("n_shared"))
     return shared.join(sizes, "query_id").where(
         F.col("n_shared") >= share * F.col("n_sentences")).select("query_id", "doc_id")
 

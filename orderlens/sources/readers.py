@@ -95,7 +95,7 @@ def documents(spark: SparkSession, path: str, pattern: str = "*.md",
               at_least: int = 12) -> DataFrame:
     """Whole-file documents. The first line must be ``# Title``; the rest is the text."""
     raw = (
-        spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(path)
+        spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
         .select(F.col("value"), F.col("_metadata.file_name").alias("file")))
     lines = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\r?\n")
     first = F.element_at(lines, 1)
