@@ -12,6 +12,7 @@ of the same kernel, so the result stays exact.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -166,9 +167,8 @@ def _stream(corpus: DataFrame, block, k: int) -> DataFrame:
     return _merge(corpus.mapInArrow(run, HIT_SCHEMA), k)
 
 
-def _blocked(corpus: DataFrame, queries: DataFrame, n_queries: int, k: int, build) -> DataFrame:
+def _blocked(corpus: DataFrame, queries: DataFrame, q_blocks: int, k: int, build) -> DataFrame:
     """Pairs of bounded blocks, one group each; blocks are hash slices, so they are even."""
-    q_blocks = -(-n_queries // BLOCK_QUERIES)
     c_blocks = max(1, -(-corpus.count() // BLOCK_ROWS))
     q = queries.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks))).withColumn(
         "_c", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
@@ -216,7 +216,11 @@ def _top_k(corpus, queries, k, build, width, limit) -> DataFrame:
     # The sparse matrix has at most total x n cells; the dense one exactly w x n.
     cells = stats["n"] * (stats["total"] if build is _sparse_block else stats["w"])
     if cells > limit:
-        return _blocked(corpus, queries, stats["n"], k, build)
+        # A sparse block shrinks both ways when the queries are split, a dense one one way.
+        share = cells / max(1, limit)
+        split = math.sqrt(share) if build is _sparse_block else share
+        q_blocks = max(-(-stats["n"] // BLOCK_QUERIES), min(stats["n"], math.ceil(split)))
+        return _blocked(corpus, queries, q_blocks, k, build)
     return _stream(corpus, build(queries.toArrow()), k)
 
 
@@ -234,7 +238,7 @@ def dense_top_k(corpus: DataFrame, queries: DataFrame, k: int,
 
 
 def sparse_top_k(corpus: DataFrame, queries: DataFrame, k: int,
-                 limit: int = 4 * MAX_CELLS) -> DataFrame:
+                 limit: int = 2 * MAX_CELLS) -> DataFrame:
     """The same for term vectors: columns terms and weights, both of unit length."""
     return _top_k(corpus.select("doc_id", "pos", "terms", "weights"),
                   queries.select("query_id", "terms", "weights"),

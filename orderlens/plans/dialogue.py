@@ -11,6 +11,8 @@ from orderlens.operators import answers as A
 from orderlens.operators import catalog as K
 from orderlens.operators import logs as L
 from orderlens.operators import ordering as O
+from orderlens.operators import pipeline as PL
+from orderlens.operators import retrieval as R
 from orderlens.operators import routing as G
 from orderlens.operators import state as ST
 from orderlens.plans import base_sql as B
@@ -512,3 +514,41 @@ def page_table_rows(spark, sf):
     return L.section_rows(
         pages, F.col("html"), r'<a href="([^"]*)">([^<]*)</a>',
         [("target", "string"), ("label", "string")]).drop("html")
+
+
+@queries.query()
+def conversation_answers(spark, sf):
+    """Every user turn of the conversations, answered end to end from the documents."""
+    turns = spread(table(spark, sf, "conversations")).where(F.col("role") == "user").select(
+        "conv_id", "turn", "text")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    chunk_table = staged(R.chunks(documents).select("doc_id", "pos", "chunk_text"))
+    titles = documents.select("doc_id", F.format_string("Document %d", "doc_id").alias("title"))
+    knowledge = PL.Knowledge(R.LexicalIndex.build(chunk_table), chunk_table, titles)
+    return PL.answer_conversations(
+        turns, staged(order_history(spark, sf)), knowledge, OPERATING)
+
+
+_STEP = """CASE WHEN blocked = 1 THEN
+    'Blocked by the input guardrail before any retrieval or tool call.'
+  WHEN final_lane = 'conversational' THEN 'Understood as ordinary conversation (' || final_intent
+    || ') — no retrieval or tool call needed.'
+  WHEN final_lane = 'policy' AND last_topic IS NOT NULL THEN 'Understood as ' || final_intent
+    || ' — retrieved 1 policy document(s) above the similarity floor.'
+  WHEN final_lane = 'policy' THEN 'Understood as ' || final_intent || ' — nothing in the policy '
+    || 'knowledge base cleared the similarity floor, so this was refused rather than guessed.'
+  WHEN tool_status = 'missing_input' THEN
+    'Understood as return-risk — asked for the order details still missing.'
+  WHEN final_lane = 'return_risk' THEN
+    'Understood as return-risk — scored with the saved Random Forest model.'
+  ELSE 'Understood as product-category — classified with the saved image model.' END"""
+
+
+@queries.query(f"""WITH {STATE_SQL}, shaped AS (SELECT {STATE_COLUMNS} FROM states)
+  SELECT conv_id, turn, {_STEP} AS summary FROM shaped""")
+def turn_summaries(spark, sf):
+    states = _states(spark, sf)
+    return states.select("conv_id", "turn", G.step_summary(
+        F.col("blocked"), F.col("final_lane"), F.col("final_intent"), F.lit(0),
+        F.col("last_topic").isNotNull().cast("int"), F.lit(1), F.col("tool_status"))
+        .alias("summary"))
