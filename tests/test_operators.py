@@ -305,3 +305,33 @@ def test_small_tables_are_checked(spark):
 
 def test_checkpoint_uses_the_shared_folder(spark):
     assert checkpointed(spark.range(3)).count() == 3
+
+
+def test_category_dictionary(spark):
+    from orderlens.operators.catalog import dictionary_matches
+
+    names = [("Smartphones", "Electronics"), ("Running shoes", "Footwear"), ("Mugs", "Home")]
+    want = {"two smartphones": "Electronics", "a mug please": "Home",
+            "my shoes": "Footwear", "any phone": "Electronics", "the care wear": None,
+            "beauty shoes": "Beauty"}
+    df = spark.createDataFrame([(t,) for t in want], "text string")
+    got = {r["text"]: r["catalog_category"] for r in dictionary_matches(df, names).collect()}
+    assert got == want
+
+
+def test_catalog_criteria(spark):
+    from orderlens.operators.catalog import filter_products, matched_products
+
+    rows = [(1, "Apparel", 10, True, True, False), (2, "Footwear", 7, False, True, False),
+            (3, "Home", 0, True, False, True)]
+    catalog = spark.createDataFrame(rows, (
+        "product_id bigint, category string, return_window int, exchange_available boolean, "
+        "cod_available boolean, non_returnable boolean"))
+    ask = ["Which products have a 10-day return window?", "Show non-returnable products with COD",
+           "Which footwear supports cash on delivery?", "Hello", "exchange a 7 day thing"]
+    q = spark.createDataFrame([(i, t) for i, t in enumerate(ask)], "query_id bigint, text string")
+    got = {r["query_id"]: r["n_matches"] for r in matched_products(q, catalog).collect()}
+    # The day count is an upper bound and needs "window" or "return" next to it.
+    assert got == {0: 3, 1: 1, 2: 1, 3: 0, 4: 2}
+    assert filter_products(catalog, category="APPAREL").count() == 1
+    assert filter_products(catalog).count() == 3

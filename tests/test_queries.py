@@ -40,3 +40,10 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
     history = REGISTRY["missingness_by_group"].run(spark, sf)
     text = history._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,lang:string>" in text
+
+
+def test_top_rows_per_class_are_pruned_before_the_shuffle(spark, sf):
+    plan = REGISTRY["first_per_class"].run(spark, sf)._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert text.count("WindowGroupLimit") == 2
+    assert text.rindex("WindowGroupLimit") > text.index("Exchange hashpartitioning")
