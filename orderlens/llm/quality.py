@@ -75,7 +75,7 @@ def normalised(text: Column) -> Column:
 
 def with_lines(docs: DataFrame, text: str) -> DataFrame:
     """Adds ``_lines``: hash and word count of each normalised line that has a word."""
-    lines = F.filter(F.transform(F.split(normalised(F.col(text)), "\n"), F.trim),
+    lines = F.filter(F.transform(F.split(normalised(F.col(text)), "\n"), lambda x: F.trim(x)),
                      lambda x: x != "")
     return docs.withColumn("_lines", F.transform(lines, lambda x: F.struct(
         F.xxhash64(x).alias("h"),
@@ -89,11 +89,12 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
     All counts combine before the shuffle; a line that every document of a hot host holds
     costs one row per task.
     """
-    hosts = rows.groupBy("_host").agg(F.count("*").alias("_all"))
+    hosts = staged(rows.groupBy("_host").agg(F.count("*").alias("_all")))
     hashes = F.array_distinct(F.transform("_lines", lambda x: x["h"]))
     counts = rows.select("_host", F.explode(hashes).alias("h")).groupBy("_host", "h").agg(
         F.count("*").alias("docs")).where(F.col("docs") > min_docs)
-    counts = counts.join(hosts, "_host").where(F.col("docs") > share * F.col("_all"))
+    counts = lookup(counts, hosts, ["_host"], "_all").where(
+        F.col("docs") > share * F.col("_all"))
     suspects = staged(counts.select("_host", "h", "docs"))
 
     padded = rows.select("_row", "_host", F.transform("_lines", lambda x: x["h"]).alias("_h"))
