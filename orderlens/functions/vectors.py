@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,9 +34,20 @@ def argmax(v: Column) -> Column:
     return (F.array_position(v, F.array_max(v)) - 1).cast("int")
 
 
+def width_of(df: DataFrame, vector: str) -> int:
+    """Number of dimensions, taken from the data; vectors of different widths raise."""
+    sizes = df.where(F.col(vector).isNotNull()).agg(
+        F.min(F.size(vector)).alias("least"), F.max(F.size(vector)).alias("most")).first()
+    if sizes["least"] != sizes["most"]:
+        raise ValueError(f"{vector}: {sizes['least']} to {sizes['most']} dimensions")
+    return sizes["most"] or 0
+
+
 def standardise(v: Column, mean: Column, std: Column) -> Column:
-    """Elementwise (x - mean) / std; a constant dimension becomes 0."""
-    centred = F.zip_with(as_doubles(v), mean, lambda x, m: x - m)
+    """Elementwise (x - mean) / std; a constant dimension becomes 0. Widths must agree."""
+    same = F.assert_true(F.size(v) == F.size(mean), F.lit("vector and statistics differ in width"))
+    checked = F.when(same.isNull(), as_doubles(v))
+    centred = F.zip_with(checked, mean, lambda x, m: x - m)
     return F.zip_with(centred, std, lambda x, s: F.coalesce(F.try_divide(x, s), F.lit(0.0)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.functions import scoring as S
+from orderlens.session import bounded_rows
 
 
 def pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -15,24 +16,39 @@ def pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
         F.count("*").alias("n"))
 
 
-def confusion_cells(pairs: DataFrame, classes: list) -> DataFrame:
+MAX_CLASSES = 10_000
+
+
+def all_classes(pairs: DataFrame, classes: list | None = None) -> list:
+    """The named classes and every other one the pairs hold, so that no pair is lost."""
+    seen = pairs.select(F.explode(F.array("actual", "predicted")).alias("c")).distinct()
+    found = {r["c"] for r in bounded_rows(seen, MAX_CLASSES, "classes")}
+    extra = sorted(c for c in found - set(classes or []) if c is not None)
+    return [*(classes or []), *extra, *([None] if None in found else [])]
+
+
+def confusion_cells(pairs: DataFrame, classes: list | None = None) -> DataFrame:
     """All k x k cells in long form, zero cells included."""
     spark = pairs.sparkSession
+    classes = all_classes(pairs, classes)
     kind = pairs.schema["actual"].dataType.simpleString()
     grid = spark.createDataFrame(
         [(t, p) for t in classes for p in classes], f"actual {kind}, predicted {kind}")
-    return grid.join(pairs, ["actual", "predicted"], "left").select(
+    met = pairs.select(F.col("actual").alias("_a"), F.col("predicted").alias("_p"), "n")
+    on = F.col("actual").eqNullSafe(F.col("_a")) & F.col("predicted").eqNullSafe(F.col("_p"))
+    return grid.join(met, on, "left").select(
         "actual", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def confusion_matrix(pairs: DataFrame, classes: list) -> DataFrame:
+def confusion_matrix(pairs: DataFrame, classes: list | None = None) -> DataFrame:
     """One row per actual class, one column per predicted class."""
+    classes = all_classes(pairs, classes)
     return confusion_cells(pairs, classes).groupBy("actual").pivot(
         "predicted", classes).agg(F.sum("n")).select(
         "actual", *[F.col(str(c)).alias(f"pred_{c}") for c in classes])
 
 
-def per_class_metrics(pairs: DataFrame, classes: list) -> DataFrame:
+def per_class_metrics(pairs: DataFrame, classes: list | None = None) -> DataFrame:
     """Precision, recall, F1 and support of every class, zero where undefined."""
     cells = confusion_cells(pairs, classes)
     both = F.array(
@@ -54,7 +70,7 @@ def per_class_metrics(pairs: DataFrame, classes: list) -> DataFrame:
         "support")
 
 
-def classification_report(pairs: DataFrame, classes: list) -> DataFrame:
+def classification_report(pairs: DataFrame, classes: list | None = None) -> DataFrame:
     """Accuracy, macro and support-weighted averages."""
     per = per_class_metrics(pairs, classes)
     acc = pairs.agg(S.guarded_ratio(

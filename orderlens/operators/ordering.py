@@ -170,14 +170,16 @@ def skewed_lookup(facts: DataFrame, dim: DataFrame, key: str,
     """Left join to a table with unique, non-negative integer (or any string) keys.
 
     Hot keys are answered by a broadcast of their few rows, which the pigeonhole bound keeps
-    under HOT_KEYS. Their rows and NULL keys then go to the shuffle join under a spread,
+    under HOT_KEYS; a hot key that the table lacks is among them. Their rows and NULL keys then go to the shuffle join under a spread,
     unmatchable key, so no task collects them. ``hot`` names the hot keys where they are
     known already; otherwise they are counted.
     """
     fields = [c for c in dim.columns if c != key]
     known = hot if hot is not None else hot_keys(facts, key)
-    hot = dim.join(F.broadcast(known), key, "left_semi").select(
+    present = dim.join(F.broadcast(known), key, "left_semi").select(
         F.col(key), F.struct(*fields).alias("_hot"))
+    # A hot key without a row is answered too: by nothing.
+    hot = known.join(present, key, "left").withColumn("_met", F.lit(True))
     cold = dim.select(F.col(key).alias("_k"), F.struct(*fields).alias("_cold"))
     spread = F.xxhash64(*facts.columns)
     if dict(facts.dtypes)[key] == "string":
@@ -185,8 +187,7 @@ def skewed_lookup(facts: DataFrame, dim: DataFrame, key: str,
     else:
         away = (-1 - F.pmod(spread, F.lit(2 ** 31 - 1))).cast(dict(facts.dtypes)[key])
     joined = facts.join(F.broadcast(hot), key, "left").withColumn(
-        "_k", F.when(F.col("_hot").isNotNull() | F.col(key).isNull(), away)
-        .otherwise(F.col(key)))
+        "_k", F.when(F.col("_met") | F.col(key).isNull(), away).otherwise(F.col(key)))
     out = joined.join(cold, "_k", "left").withColumn("_got", F.coalesce("_hot", "_cold"))
     return out.select(*facts.columns, *[F.col(f"_got.{f}").alias(f) for f in fields])
 
@@ -198,80 +199,113 @@ def top_per_group(df: DataFrame, by: list[str], order: list[Column], k: int | Co
     return ranked.where(F.col(name) <= k)
 
 
-def _window_counts(df: DataFrame, bounds: dict[str, list[tuple[float, float]]]):
-    """Rows below each window, and the value counts inside it; one pass for all columns."""
-    below = df.agg(*[
-        F.count(F.when(F.col(c) < lo, 1)).alias(f"{c}|{i}")
-        for c, ws in bounds.items() for i, (lo, _) in enumerate(ws)]).first()
-    tagged = F.array(*[
-        F.struct(F.lit(f"{c}|{i}").alias("w"), F.when(
-            (F.col(c) >= lo) & (F.col(c) <= hi), F.col(c)).cast("double").alias("v"))
-        for c, ws in bounds.items() for i, (lo, hi) in enumerate(ws)])
-    inside = (
-        df.select(F.explode(F.filter(tagged, lambda e: e["v"].isNotNull())).alias("e"))
-        .groupBy("e.w", "e.v").count())
-    return below, inside
-
-
-def exact_positions(df: DataFrame, positions: dict[str, list], accuracy: int = 100_000,
-                    limit: int = 1_000_000) -> dict[str, list[tuple[float, int, int]]]:
-    """Exact order statistics of several columns in three passes, whatever the row count.
-
-    ``positions[col]`` is a list of functions n -> 0-based position among the n non-NULL
-    values, or plain integers. Returns (value, offset among the rows equal to it, number of
-    rows equal to it).
-
-    An approximate quantile sketch brackets each position; the rows below the bracket are
-    counted and only distinct values inside it are looked at. A bracket that misses is
-    widened, one that holds too many values is cut again with a finer sketch.
+# A position is looked up among at most this many values on the driver.
+INSIDE = 10_000
+
+
+def exact_positions(df: DataFrame, positions: dict[str, list], accuracy: int = 10_000
+                    ) -> dict[str, list[tuple]]:
+    """Exact order statistics of several columns, whatever the row count.
+
+    ``positions[col]`` is a list of functions n -> 0-based position among the n values that
+    are neither NULL nor NaN, or plain integers. Returns (value, offset among the rows equal
+    to it, number of rows equal to it), None where there is no such position.
+
+    Each round asks a sketch for two values around the position and counts exactly how many
+    rows lie below and at them. Either value may be the answer; otherwise the position lies
+    strictly between them, or outside. The open interval shrinks with every round because its
+    ends are values of the column, so the search ends; intervals of few rows are read out.
     """
-    cols = list(positions)
-    n = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
-    want = {c: [p(n[c]) if callable(p) else p for p in positions[c]] for c in cols}
-    cols = [c for c in cols if n[c]]
-    while True:
-        # The sketch is within n/accuracy ranks; take four times that on either side.
-        slack = 4.0 / accuracy
-        probs = {c: [[max(0.0, p / n[c] - slack), min(1.0, p / n[c] + slack)]
-                     for p in want[c]] for c in cols}
-        sketch = df.agg(*[
-            F.percentile_approx(c, F.array(*[F.lit(q) for pair in probs[c] for q in pair]),
-                                F.lit(accuracy)).alias(c)
-            for c in cols]).first()
-        bounds = {c: [(float(sketch[c][2 * i]), float(sketch[c][2 * i + 1]))
-                      for i in range(len(want[c]))] for c in cols}
-        below, inside = _window_counts(df, bounds)
-        rows = inside.limit(limit + 1).collect()
-        if len(rows) > limit:
-            accuracy *= 10
+    def usable(c: str) -> Column:
+        kind = dict(df.dtypes)[c]
+        return F.when(~F.isnan(c), F.col(c)) if kind in ("double", "float") else F.col(c)
+
+    n = df.agg(*[F.count(usable(c)).alias(c) for c in positions]).first().asDict()
+    # (column, place) -> position, open interval, rows at or below its lower end, rows in it.
+    search = {}
+    out: dict[str, list] = {c: [None] * len(ps) for c, ps in positions.items()}
+    for c, ps in positions.items():
+        for i, p in enumerate(ps):
+            at = p(n[c]) if callable(p) else p
+            if n[c] and 0 <= at < n[c]:
+                search[c, i] = (at, None, None, 0, n[c])
+    while search:
+        inside = {}
+        for (c, i), (_, low, high, _, _) in search.items():
+            x = usable(c)
+            if low is not None:
+                x = F.when(x > low, x)
+            inside[c, i] = x if high is None else F.when(x < high, x)
+        few = [k for k in search if search[k][4] <= INSIDE]
+        if few:
+            for k, found in _read_out(df, {k: inside[k] for k in few}, search).items():
+                out[k[0]][k[1]] = found
+                del search[k]
             continue
-        by_window: dict[str, list] = {}
+        probes = {}
+        sketch = df.agg(*[F.percentile_approx(inside[k], F.array(*[F.lit(q) for q in _around(
+            at - base, rows, accuracy)]), F.lit(accuracy)).alias(f"{k[0]}|{k[1]}")
+            for k, (at, _, _, base, rows) in search.items()]).first()
+        for k in search:
+            probes[k] = sorted(set(sketch[f"{k[0]}|{k[1]}"]))
+        counts = df.agg(*[
+            F.count(F.when(test(usable(k[0]), v), 1)).alias(f"{k[0]}|{k[1]}|{j}|{name}")
+            for k, vs in probes.items() for j, v in enumerate(vs)
+            for name, test in (("below", lambda x, v: x < v), ("upto", lambda x, v: x <= v))
+        ]).first()
+        for k, vs in probes.items():
+            at, low, high, base, rows = search.pop(k)
+            top = base + rows
+            for j, v in enumerate(vs):
+                below, upto = (counts[f"{k[0]}|{k[1]}|{j}|{name}"] for name in ("below", "upto"))
+                if below <= at < upto:
+                    out[k[0]][k[1]] = (v, at - below, upto - below)
+                    break
+                if upto <= at:
+                    low, base = v, upto
+                else:
+                    high, top = v, below
+                    break
+            if out[k[0]][k[1]] is None:
+                search[k] = (at, low, high, base, top - base)
+    return out
+
+
+def _around(place: int, rows: int, accuracy: int) -> list[float]:
+    """Shares a little below and above a position; the sketch is within 1/accuracy ranks."""
+    slack = 2.0 / accuracy
+    return [max(0.0, place / rows - slack), min(1.0, place / rows + slack)]
+
+
+def _read_out(df: DataFrame, inside: dict[tuple, Column], search: dict) -> dict[tuple, tuple]:
+    """Answers of intervals with at most INSIDE rows, from one pass over the rows."""
+    names = {f"{c}|{i}": (c, i) for c, i in inside}
+    wide = {"double": [], "bigint": []}
+    for (c, i), x in inside.items():
+        kind = "bigint" if dict(df.dtypes)[c] in ("bigint", "int", "smallint", "tinyint") \
+            else "double"
+        wide[kind].append(F.struct(F.lit(f"{c}|{i}").alias("w"), x.cast(kind).alias("v")))
+    found: dict[tuple, list] = {k: [] for k in inside}
+    for entries in filter(None, wide.values()):
+        rows = df.select(F.explode(F.filter(F.array(*entries), lambda e: e["v"].isNotNull()))
+                         .alias("e")).groupBy("e.w", "e.v").count().collect()
         for r in rows:
-            by_window.setdefault(r["w"], []).append((r["v"], r["count"]))
-        out, missed = {}, False
-        for c in cols:
-            out[c] = []
-            for i, p in enumerate(want[c]):
-                seen = below[f"{c}|{i}"]
-                hit = None
-                for v, k in sorted(by_window.get(f"{c}|{i}", [])):
-                    if seen <= p < seen + k:
-                        hit = (v, p - seen, k)
-                        break
-                    seen += k
-                missed = missed or hit is None
-                out[c].append(hit)
-        if not missed:
-            return {c: out.get(c, []) for c in positions}
-        if accuracy <= 1000:
-            raise RuntimeError("order statistics: bracket never covered the position")
-        accuracy //= 10
+            found[names[r["w"]]].append((r["v"], r["count"]))
+    out = {}
+    for k, values in found.items():
+        at, _, _, seen, _ = search[k]
+        for v, count in sorted(values):
+            if seen <= at < seen + count:
+                out[k] = (v, at - seen, count)
+                break
+            seen += count
+    return out
 
 
 def exact_medians(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Interpolating medians of many columns at once."""
     found = exact_positions(df, {c: [lambda n: (n - 1) // 2, lambda n: n // 2] for c in cols})
-    return {c: (pair[0][0] + pair[1][0]) / 2 if pair else None for c, pair in found.items()}
+    return {c: (pair[0][0] + pair[1][0]) / 2 if pair[0] else None for c, pair in found.items()}
 
 
 def all_of(conditions: list[Column]) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens import constants as C
 from orderlens.functions.scoring import guarded_ratio
+from orderlens.session import bounded_rows
 
 
 def rate_table(df: DataFrame, by: str, label: str = C.TARGET) -> DataFrame:
@@ -40,6 +41,12 @@ def headline(df: DataFrame, label: str = C.TARGET, nullable: str = "rating_given
         F.round(F.avg(F.col(nullable).isNull().cast("int")), 6).alias("missing_rate"))
 
 
+def levels_of(df: DataFrame, column: str, limit: int) -> list:
+    """The non-NULL levels of a column of few levels, sorted; more than ``limit`` raise."""
+    found = bounded_rows(distinct_levels(df, column), limit, f"levels of {column}")
+    return sorted(r[column] for r in found if r[column] is not None)
+
+
 def missingness_by_group(df: DataFrame, columns: list[str], groups: dict[str, Column],
                          min_gap: float = 0.05) -> DataFrame:
     """Missing rate inside and outside each observed group, for every (column, group) pair.

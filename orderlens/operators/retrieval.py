@@ -134,9 +134,14 @@ def joined_vectors(tokens: DataFrame, idfs: DataFrame, key: list[str],
         F.sum(F.col("w") * F.col("w")).alias("_sq"),
         F.collect_list(F.struct("term", "w")).alias("_v"))
     length = F.sqrt("_sq")
-    return grouped.select(
+    found = grouped.select(
         *key, F.col("_v.term").alias("terms"),
         F.transform("_v.w", lambda w: w / length).alias("weights"))
+    # A row without tokens has an empty vector here as in the broadcast form.
+    bare = tokens.where(F.coalesce(F.size("tokens"), F.lit(0)) <= 0).select(
+        *key, F.array().cast("array<string>").alias("terms"),
+        F.array().cast("array<double>").alias("weights"))
+    return found.unionByName(bare)
 
 
 class LexicalIndex:

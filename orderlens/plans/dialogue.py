@@ -392,7 +392,7 @@ def _risk_answers_sql() -> str:
   SELECT conv_id, turn, CASE WHEN n_features = 11 THEN printf({risk},
       CASE WHEN order_id IS NULL THEN 'This order' ELSE 'Order ' || order_id END,
       round(p * 100, 2), CASE WHEN p < {t} THEN 'LOW' WHEN p < {high} THEN 'MEDIUM' ELSE 'HIGH' END,
-      {t}, {t}, {t}, {high}, {high})
+      {t}, {t}, {t}, {high}, {high}, {q(C.RULE_NAME)})
     WHEN n_features = 0 THEN {nothing}
     ELSE printf({named}, CASE WHEN len(asks) = 1 THEN asks[1] ELSE
       array_to_string(asks[1:len(asks) - 1], ', ') || ' and ' || asks[len(asks)] END) END AS answer,
@@ -471,7 +471,8 @@ def url_category(spark, sf):
     'guard -> intent -> response' AS path,
     CASE WHEN u.turn % 4 = 0 THEN 1 ELSE 0 END AS blocked,
     a.text AS answer, 'policy_kb' AS source, 0.5::DOUBLE AS confidence,
-    CAST(u.turn + 1 AS VARCHAR) AS turn_index
+    CAST(u.turn + 1 AS VARCHAR) AS turn_index,
+    'conversation ' || u.conv_id AS transcript, 'none' AS mode, 'tf-idf' AS model
   FROM u LEFT JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1""")
 def log_extract(spark, sf):
     """Conversations written as text logs of up to 50 turns, then read back."""
@@ -491,7 +492,8 @@ def log_extract(spark, sf):
     blocks = user.join(reply, ["conv_id", "turn"], "left").select(
         "conv_id", (F.floor(F.col("turn") / 50)).alias("part"), "turn", block.alias("block"))
     header = F.format_string(
-        "Transcript      : conversation %d\nRetrieval       : exact top-k\n", "conv_id")
+        "Transcript      : conversation %d\nLLM mode        : none\n"
+        "Embedding model : tf-idf\nRetrieval       : exact top-k\n", "conv_id")
     files = L.render_log(blocks, ["conv_id", "part"], "turn", "block", header)
     return L.parse_logs(files).select(
         "conv_id", F.concat(F.lit("TURN "), "turn_label").alias("turn_label"),
@@ -499,7 +501,10 @@ def log_extract(spark, sf):
         F.array_join("graph_path", " -> ").alias("path"), "blocked",
         F.col("response.answer").alias("answer"), F.col("response.source").alias("source"),
         F.col("response.confidence").alias("confidence"),
-        F.element_at("state_after", "turn_index").alias("turn_index"))
+        F.element_at("state_after", "turn_index").alias("turn_index"),
+        F.element_at("header", "Transcript").alias("transcript"),
+        F.element_at("header", "LLM mode").alias("mode"),
+        F.element_at("header", "Embedding model").alias("model"))
 
 
 @queries.query(r"""WITH hits AS (SELECT page_id, unnest(regexp_extract_all(html,
@@ -529,26 +534,22 @@ def conversation_answers(spark, sf):
         turns, staged(order_history(spark, sf)), knowledge, OPERATING)
 
 
-_STEP = """CASE WHEN blocked = 1 THEN
-    'Blocked by the input guardrail before any retrieval or tool call.'
-  WHEN final_lane = 'conversational' THEN 'Understood as ordinary conversation (' || final_intent
-    || ') — no retrieval or tool call needed.'
-  WHEN final_lane = 'policy' AND last_topic IS NOT NULL THEN 'Understood as ' || final_intent
-    || ' — retrieved 1 policy document(s) above the similarity floor.'
-  WHEN final_lane = 'policy' THEN 'Understood as ' || final_intent || ' — nothing in the policy '
-    || 'knowledge base cleared the similarity floor, so this was refused rather than guessed.'
-  WHEN tool_status = 'missing_input' THEN
-    'Understood as return-risk — asked for the order details still missing.'
-  WHEN final_lane = 'return_risk' THEN
-    'Understood as return-risk — scored with the saved Random Forest model.'
-  ELSE 'Understood as product-category — classified with the saved image model.' END"""
+_CODE = """CASE WHEN blocked = 1 THEN 'blocked' WHEN final_lane = 'conversational' THEN 'talk'
+  WHEN final_lane = 'policy' AND last_topic IS NOT NULL THEN 'policy'
+  WHEN final_lane = 'policy' THEN 'refused' WHEN tool_status = 'missing_input' THEN 'ask'
+  WHEN final_lane = 'return_risk' THEN 'risk' ELSE 'image' END"""
+_SENTENCE = "CASE code " + " ".join(
+    f"WHEN '{code}' THEN replace(replace({q(words)}, '%s', final_intent), '%d', '1')"
+    for code, words in C.STEP_SENTENCES.items()) + " END"
 
 
-@queries.query(f"""WITH {STATE_SQL}, shaped AS (SELECT {STATE_COLUMNS} FROM states)
-  SELECT conv_id, turn, {_STEP} AS summary FROM shaped""")
+@queries.query(f"""WITH {STATE_SQL}, shaped AS (SELECT {STATE_COLUMNS} FROM states),
+  coded AS (SELECT *, {_CODE} AS code FROM shaped)
+  SELECT conv_id, turn, code, {_SENTENCE} AS summary FROM coded""")
 def turn_summaries(spark, sf):
     states = _states(spark, sf)
-    return states.select("conv_id", "turn", G.step_summary(
-        F.col("blocked"), F.col("final_lane"), F.col("final_intent"), F.lit(0),
-        F.col("last_topic").isNotNull().cast("int"), F.lit(1), F.col("tool_status"))
-        .alias("summary"))
+    code = G.step_code(F.col("blocked"), F.col("final_lane"), F.lit(0),
+                       F.col("last_topic").isNotNull().cast("int"), F.col("tool_status"))
+    return states.select("conv_id", "turn", code.alias("code"), "final_intent").select(
+        "conv_id", "turn", "code",
+        G.step_summary(F.col("code"), F.col("final_intent"), F.lit(1)).alias("summary"))

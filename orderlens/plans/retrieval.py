@@ -226,7 +226,7 @@ REFUSAL = C.REFUSAL_TEXT.replace("{shop}", A.SHOP).replace("'", "''")
       list(title || ' — ' || chunk_text ORDER BY r) AS sides, list(score ORDER BY r) AS ss
     FROM docs GROUP BY query_id),
   shaped AS (SELECT q.query_id, fine, l.*, coalesce(l.best, 0.0) AS best_score,
-      CASE WHEN round(s1 - s2, 4) <= 0.05 AND s2 >= 0.45 THEN 2 ELSE 1 END AS nq, crc
+      CASE WHEN s1 - s2 <= 0.05 AND s2 >= 0.45 THEN 2 ELSE 1 END AS nq, crc
     FROM intents q LEFT JOIN lists l USING (query_id) JOIN crc USING (query_id)),
   worded AS (SELECT *, CASE
       WHEN best_score >= 0.45 AND fine = 'comparison' AND n >= 2 THEN
@@ -343,31 +343,40 @@ def questions(spark, sf):
         .otherwise(F.format_string("Tell me about the %s", "product_name")).alias("text"))
 
 
-@queries.query(rf"""WITH {CATALOG}, {QUESTIONS},
-  asked AS (SELECT query_id, text, CASE
-      WHEN regexp_matches(text, '(?i)non[\s-]?returnable|not\s+returnable|cannot\s+be\s+returned')
-        THEN 'non_returnable'
-      WHEN regexp_matches(text, '(?i)\bcod\b|cash[\s-]?on[\s-]?delivery') THEN 'cod_available'
-      WHEN regexp_matches(text, '(?i)\bexchange\b') THEN 'exchange_available' END AS want_kind,
+def q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _named(x: str, pattern: str) -> str:
+    return f"regexp_matches({x}, {q('(?i)' + pattern)})"
+
+
+ASKED = f"""
+asked AS (SELECT query_id, text, CASE
+      WHEN {_named('text', C.NON_RETURNABLE_PATTERN)} THEN 'non_returnable'
+      WHEN {_named('text', C.COD_PATTERN)} THEN 'cod_available'
+      WHEN {_named('text', C.EXCHANGE_PATTERN)} THEN 'exchange_available' END AS want_kind,
     CASE WHEN contains(lower(text), 'window') OR contains(lower(text), 'return')
-      THEN TRY_CAST(nullif(regexp_extract(text, '(?i)(\d+)[\s-]*day', 1), '') AS INTEGER) END
-      AS want_window,
+      THEN TRY_CAST(nullif(regexp_extract(text, {q('(?i)' + C.DAY_WINDOW_PATTERN)}, 1), '')
+        AS INTEGER) END AS want_window,
     CASE WHEN contains(lower(text), 'apparel') THEN 'Apparel'
       WHEN contains(lower(text), 'footwear') THEN 'Footwear'
       WHEN contains(lower(text), 'electronics') THEN 'Electronics'
       WHEN contains(lower(text), 'home') THEN 'Home'
       WHEN contains(lower(text), 'beauty') THEN 'Beauty' END AS want_category
-    FROM questions)
-  SELECT a.query_id, want_kind, want_window, want_category, count(c.product_id) AS n_matches,
-         min(c.product_id) AS first_product
-  FROM asked a LEFT JOIN catalog c
-    ON coalesce(want_kind, CAST(want_window AS VARCHAR), want_category) IS NOT NULL
+    FROM questions)"""
+MEETS = """coalesce(want_kind, CAST(want_window AS VARCHAR), want_category) IS NOT NULL
    AND (want_kind IS NULL OR (want_kind = 'non_returnable' AND non_returnable)
         OR (want_kind = 'cod_available' AND cod_available)
         OR (want_kind = 'exchange_available' AND exchange_available))
    AND (want_window IS NULL OR return_window <= want_window)
-   AND (want_category IS NULL OR category = want_category)
-  GROUP BY ALL""")
+   AND (want_category IS NULL OR category = want_category)"""
+
+
+@queries.query(f"""WITH {CATALOG}, {QUESTIONS}, {ASKED}
+  SELECT a.query_id, want_kind, want_window, want_category, count(c.product_id) AS n_matches,
+         min(c.product_id) AS first_product
+  FROM asked a LEFT JOIN catalog c ON {MEETS} GROUP BY ALL""")
 def catalog_questions(spark, sf):
     return K.matched_products(questions(spark, sf), catalog(spark, sf))
 
@@ -389,3 +398,38 @@ def product_search(spark, sf):
         "query_id", F.concat_ws(" ", "product_name", "description").alias("text"))
     return K.search_products(R.LexicalIndex.build(rows), wanted).select(
         "query_id", F.col("doc_id").alias("product_id"), "score", "rank")
+
+
+_OPEN = "SELECT query_id, text FROM questions WHERE query_id NOT IN (SELECT query_id FROM hit)"
+
+
+@queries.query(f"""WITH {CATALOG}, {QUESTIONS}, {ASKED},
+  hit AS (SELECT a.query_id, c.product_id, count(*) OVER (PARTITION BY a.query_id) AS n,
+      row_number() OVER (PARTITION BY a.query_id ORDER BY c.product_id) AS r
+    FROM asked a JOIN catalog c ON {MEETS} QUALIFY r <= 5){SEARCHABLE},
+  {tfidf('texts', 'doc_id, pos', 'body', _OPEN)},
+  near AS (SELECT query_id, doc_id AS product_id, rank AS r,
+      count(*) OVER (PARTITION BY query_id) AS n
+    FROM pool WHERE rank <= 5 AND score >= 0.45),
+  found AS (SELECT *, 'criteria' AS how FROM hit
+    UNION ALL SELECT query_id, product_id, n, r, 'similar' FROM near),
+  told AS (SELECT query_id, how, n, printf('%d product(s) match: ', n) || string_agg(
+      product_name || ' {{price: ₹' || printf('%.2f', CAST(price AS DOUBLE)) || ', ' ||
+      CASE WHEN non_returnable THEN 'returns: no'
+        ELSE 'returns: ' || return_window || ' days' END
+      || ', exchange: ' || CASE WHEN exchange_available THEN 'yes' ELSE 'no' END
+      || ', cash on delivery: ' || CASE WHEN cod_available THEN 'yes' ELSE 'no' END || '}}',
+      '; ' ORDER BY r) AS answer
+    FROM found JOIN catalog USING (product_id) GROUP BY query_id, how, n)
+  SELECT q.query_id, coalesce(how, 'none') AS how, coalesce(n, 0) AS n_matches, answer
+  FROM questions q LEFT JOIN told USING (query_id)""")
+def product_answers(spark, sf):
+    """Catalog questions answered: criteria first, else the nearest products, in words."""
+    products = catalog(spark, sf)
+    rows = products.select(F.col("product_id").alias("doc_id"), F.lit(0).alias("pos"),
+                           K.searchable_text().alias("chunk_text"))
+    found = K.first_products(staged(questions(spark, sf)), products, R.LexicalIndex.build(rows))
+    return found.select(
+        "query_id", "how", "n_matches",
+        F.when(F.col("how") != "none", A.product_answer(F.col("products"), F.col("n_matches")))
+        .alias("answer"))

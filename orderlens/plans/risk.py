@@ -23,8 +23,9 @@ from orderlens.sources.readers import order_history, tables
 queries = Registry()
 DIMS = ["product_category", "payment_method"]
 OPERATING = 0.30
-REPEATS = 3
-# Hashes used to order rows in the permutation oracle: receivers and donors per repeat.
+REPEATS = 10
+MAX_GROUPS = 1000
+# Seed of the order in which the permutation takes donors.
 SEED = C.SPLIT_SEED
 
 
@@ -116,13 +117,13 @@ def profile_checks(spark, sf):
 def _missing_sql() -> str:
     pairs = []
     for column in ("quality", "toxic"):
-        for lang in ("en", "fr", "de", "es"):
-            pairs.append(f"""SELECT '{column}' AS column_name, '{lang}' AS group_name,
-              count(*) FILTER (WHERE lang = '{lang}') AS n_in,
-              count(*) FILTER (WHERE lang <> '{lang}') AS n_out,
-              count(*) FILTER (WHERE lang = '{lang}' AND {column} IS NULL) AS missing_in,
-              count(*) FILTER (WHERE lang <> '{lang}' AND {column} IS NULL) AS missing_out
-              FROM docs""")
+        pairs.append(f"""SELECT '{column}' AS column_name, g AS group_name,
+              count(*) FILTER (WHERE lang = g) AS n_in,
+              count(*) FILTER (WHERE lang <> g) AS n_out,
+              count(*) FILTER (WHERE lang = g AND {column} IS NULL) AS missing_in,
+              count(*) FILTER (WHERE lang <> g AND {column} IS NULL) AS missing_out
+              FROM docs, (SELECT DISTINCT lang AS g FROM documents WHERE lang IS NOT NULL)
+              GROUP BY g""")
     return f"""WITH docs AS (SELECT lang, quality, toxic FROM documents LEFT JOIN labels
                              USING (doc_id)),
       pairs AS ({' UNION ALL '.join(pairs)}),
@@ -142,7 +143,7 @@ def missingness_by_group(spark, sf):
     joined = documents.select("doc_id", "lang").join(labels, "doc_id", "left")
     return PR.missingness_by_group(
         joined, ["quality", "toxic"],
-        {lang: F.col("lang") == lang for lang in ("en", "fr", "de", "es")})
+        {lang: F.col("lang") == lang for lang in PR.levels_of(documents, "lang", MAX_GROUPS)})
 
 
 @queries.query(f"""WITH {B.SPLIT}
@@ -480,18 +481,16 @@ def driver_explain(spark, sf):
 
 
 def _permuted_cte() -> str:
-    repeats = []
-    for r in range(REPEATS):
-        repeats.append(f"""SELECT {r} AS repeat, a.*, d.order_id AS donor_id,
-            {', '.join(f'd.{f} AS d_{f}' for f in S.RULE_INPUTS)}
-          FROM (SELECT *, row_number() OVER (ORDER BY md5(CAST(order_id AS VARCHAR) || ':{SEED + 2 * r}')) AS k
-                FROM scored) a
-          JOIN (SELECT *, row_number() OVER (ORDER BY md5(CAST(order_id AS VARCHAR) || ':{SEED + 2 * r + 1}')) AS k
-                FROM scored) d USING (k)""")
+    repeats = [f"""SELECT {r} AS repeat, a.*, {', '.join(f'd.{f} AS d_{f}' for f in S.RULE_INPUTS)}
+          FROM ranked a JOIN ranked d
+            ON d.k = (a.k - 1 + 1 + {(SEED + r) * 104_729} % greatest(a.total - 1, 1)) % a.total + 1"""
+               for r in range(REPEATS)]
     variants = " UNION ALL ".join(
         f"SELECT repeat, '{f}' AS feature, returned, {B.rule_score(**{f: 'd_' + f})} AS score FROM paired"
         for f in S.RULE_INPUTS)
-    return f"""{B.SCORED}, paired AS ({' UNION ALL '.join(repeats)}),
+    return f"""{B.SCORED}, ranked AS (SELECT *, count(*) OVER () AS total, row_number() OVER (
+        ORDER BY md5(CAST(order_id AS VARCHAR) || ':{SEED}'), order_id) AS k FROM scored),
+      paired AS ({' UNION ALL '.join(repeats)}),
       permuted AS ({variants}),
       base AS ({B.auc('scored')}),
       aucs AS ({B.auc('permuted', 'repeat, feature')}),

@@ -15,7 +15,6 @@ from orderlens.session import bounded_rows, staged
 from orderlens.sources.readers import table
 
 queries = Registry()
-DIM = 64
 EXEMPLARS = 3
 MAX_EXEMPLARS = 10_000
 
@@ -24,7 +23,8 @@ COS = ("list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) "
 
 CENTROIDS = """
 items AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
-dims AS (SELECT label, d, avg(v[d + 1]) AS m FROM items, range(64) t(d) GROUP BY label, d),
+dims AS (SELECT label, d, avg(v[d + 1]) AS m
+  FROM (SELECT *, unnest(range(len(v))) AS d FROM items) GROUP BY label, d),
 centroids AS (SELECT label, list(m ORDER BY d) AS v FROM dims GROUP BY label)"""
 
 
@@ -35,11 +35,12 @@ def _items(spark, sf):
 
 def _centroids(items):
     """Mean vector per label: one aggregate with one average per dimension."""
+    dim = V.width_of(items, "vector")
     means = items.groupBy("label").agg(*[
-        F.avg(F.get("vector", F.lit(i))).alias(f"m{i}") for i in range(DIM)])
+        F.avg(F.get("vector", F.lit(i))).alias(f"m{i}") for i in range(dim)])
     return means.select(
         F.col("label").cast("bigint").alias("query_id"),
-        F.array(*[f"m{i}" for i in range(DIM)]).alias("vector"))
+        F.array(*[f"m{i}" for i in range(dim)]).alias("vector"))
 
 
 @queries.query(f"""WITH {CENTROIDS},
@@ -109,19 +110,20 @@ def _pairs(spark, sf):
     return K.pair_counts(_nearest(spark, sf), "label", "predicted")
 
 
-CLASSES = list(range(10))
-CELLS = ("classes AS (SELECT CAST(i AS INTEGER) AS c FROM range(10) t(i)), "
+# The classes come from the pairs; only the column names of the wide form are a list here.
+COLUMNS = list(range(10))
+CELLS = ("classes AS (SELECT actual AS c FROM pairs UNION SELECT predicted FROM pairs), "
          "cells AS (SELECT a.c AS actual, b.c AS predicted, coalesce(p.n, 0) AS n "
          "FROM classes a CROSS JOIN classes b LEFT JOIN pairs p "
          "ON p.actual = a.c AND p.predicted = b.c)")
 _PIVOT = ", ".join(
     f"CAST(sum(CASE WHEN predicted = {c} THEN n ELSE 0 END) AS BIGINT) AS pred_{c}"
-    for c in CLASSES)
+    for c in COLUMNS)
 
 
 @queries.query(f"WITH {NEAREST}, {CELLS} SELECT actual, {_PIVOT} FROM cells GROUP BY actual")
 def confusion_matrix(spark, sf):
-    return K.confusion_matrix(_pairs(spark, sf), CLASSES)
+    return K.confusion_matrix(_pairs(spark, sf), COLUMNS)
 
 
 PER_CLASS = f"""{NEAREST}, {CELLS},
@@ -139,7 +141,7 @@ per AS (SELECT class,
 
 @queries.query(f"WITH {PER_CLASS} SELECT * FROM per")
 def per_class_metrics(spark, sf):
-    return K.per_class_metrics(_pairs(spark, sf), CLASSES)
+    return K.per_class_metrics(_pairs(spark, sf))
 
 
 _WEIGHTED = ", ".join(
@@ -154,7 +156,7 @@ _WEIGHTED = ", ".join(
     round(avg(f1), 5) AS macro_f1, {_WEIGHTED}, CAST(sum(support) AS BIGINT) AS support
   FROM per""")
 def classification_report(spark, sf):
-    return K.classification_report(_pairs(spark, sf), CLASSES)
+    return K.classification_report(_pairs(spark, sf))
 
 
 @queries.query(f"""WITH {NEAREST} SELECT * FROM pairs WHERE actual <> predicted
@@ -173,7 +175,7 @@ def undirected_pairs(spark, sf):
 
 @queries.query("""WITH long AS (
     SELECT vec_id, label, d, CAST(embedding[d + 1] AS DOUBLE) AS x
-    FROM embeddings, range(64) t(d)),
+    FROM (SELECT *, unnest(range(len(embedding))) AS d FROM embeddings)),
   stats AS (SELECT d, avg(x) AS m, stddev_pop(x) AS s FROM long GROUP BY d),
   z AS (SELECT vec_id, label, d, (x - m) / nullif(s, 0) AS z FROM long JOIN stats USING (d)),
   e AS (SELECT vec_id, label, sum(exp(z)) AS total, max(z) AS top FROM z GROUP BY ALL)
@@ -183,11 +185,12 @@ def undirected_pairs(spark, sf):
   FROM e JOIN z USING (vec_id) GROUP BY e.vec_id, e.label""")
 def standardise_vectors(spark, sf):
     items = _items(spark, sf)
-    x = [F.get("vector", F.lit(i)) for i in range(DIM)]
+    dim = V.width_of(items, "vector")
+    x = [F.get("vector", F.lit(i)) for i in range(dim)]
     stats = items.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)],
                       *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(x)]).first()
-    mean = F.array(*[F.lit(stats[f"m{i}"]) for i in range(DIM)])
-    std = F.array(*[F.lit(stats[f"s{i}"]) for i in range(DIM)])
+    mean = F.array(*[F.lit(stats[f"m{i}"]) for i in range(dim)])
+    std = F.array(*[F.lit(stats[f"s{i}"]) for i in range(dim)])
     # The vector is computed once per row; the barrier keeps it from being inlined again.
     z = items.select("vec_id", "label", F.explode(F.array(
         V.standardise(F.col("vector"), mean, std))).alias("z"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -31,12 +32,18 @@ _own_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is set."""
+    """The folder the cluster names for checkpoints, else the one set on the context.
+
+    A temporary folder stands in only where driver and executors are one machine.
+    """
     global _own_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir")
+    context = spark.sparkContext
+    folder = (spark.conf.get("spark.checkpoint.dir", None)
+              or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir())
     if folder:
         return folder
+    if not re.match(r"local(\[|$)", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="orderlens-")
         atexit.register(shutil.rmtree, _own_folder, True)

@@ -50,21 +50,39 @@ def require_path(spark: SparkSession, path: str) -> None:
 
 
 def orders_csv(spark: SparkSession, path: str, schema: T.StructType = S.ORDERS) -> DataFrame:
-    """Order table from CSV; missing values are NULL, never NaN."""
+    """Order table from CSV. Columns are bound by name, whatever their order in the file; a
+    missing column raises. Missing values are NULL, never NaN."""
     require_path(spark, path)
-    df = spark.read.schema(schema).option("header", True).csv(path)
-    return df.select(*[
-        F.nullif(F.col(f.name), F.lit(float("nan"))).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType) else F.col(f.name) for f in schema])
+    raw = _csv_text(spark, path)
+    absent = [f.name for f in schema if f.name not in raw.columns]
+    if absent:
+        raise ValueError(f"{path}: no column {', '.join(absent)}")
+    return raw.select(*[
+        F.nullif(F.col(f"`{f.name}`").try_cast(f.dataType), F.lit(float("nan"))).alias(f.name)
+        if isinstance(f.dataType, T.DoubleType)
+        else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def _csv_text(spark: SparkSession, path: str, corrupt: str | None = None) -> DataFrame:
+    """All columns as text. Quoted cells may hold line breaks; quotes inside are doubled.
+    ``corrupt`` names a column for lines that do not fit the header, else NULL."""
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    names = spark.read.options(**options).csv(path).columns
+    fields = [T.StructField(c, T.StringType()) for c in names]
+    if corrupt:
+        fields.append(T.StructField(corrupt, T.StringType()))
+        options["columnNameOfCorruptRecord"] = corrupt
+    return spark.read.options(**options).schema(T.StructType(fields)).csv(path)
 
 
 def batch_csv(spark: SparkSession, path: str, expected: T.StructType = S.ORDERS) -> DataFrame:
     """User file: columns are matched by name; a bad value becomes NULL, not a failed job.
 
-    Adds ``missing_columns``, the contract columns the file does not have. A column that is
-    absent is different from a value that is NULL.
+    Adds ``missing_columns``, the contract columns the file does not have, and
+    ``corrupt_record``, the whole line where it has more or fewer cells than the header. A
+    column that is absent is different from a value that is NULL.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = _csv_text(spark, path, "corrupt_record")
     have = set(raw.columns)
     absent = [f.name for f in expected if f.name not in have]
     typed = [
