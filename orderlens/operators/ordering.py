@@ -76,12 +76,13 @@ def hash_cuts(df: DataFrame, identifier: str, label: str, seed: int, quotas: dic
     if not wanted:
         return cuts
     spark = df.sparkSession
-    schema = f"{label} {keyed.schema[label].dataType.simpleString()}, _b string, _k bigint, _q bigint"
+    schema = f"_c {keyed.schema[label].dataType.simpleString()}, _in string, _k bigint, _q bigint"
     targets = spark.createDataFrame(wanted, schema)
-    ranked = keyed.join(F.broadcast(targets.select(label, "_b").distinct()), [label, "_b"]) \
+    # NULL is a class like any other.
+    same = F.col(label).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_in"))
+    ranked = keyed.join(F.broadcast(targets.select("_c", "_in").distinct()), same, "left_semi") \
         .withColumn("_r", F.row_number().over(W.partitionBy(label, "_b").orderBy("_h")))
-    found = ranked.join(
-        F.broadcast(targets), [label, "_b"]).where(F.col("_r") == F.col("_k"))
+    found = ranked.join(F.broadcast(targets), same & (F.col("_r") == F.col("_k")))
     for r in bounded_rows(found.select(label, "_q", "_h"), len(wanted), "cut hashes"):
         cuts[r[label]][r["_q"]] = r["_h"]
     return cuts
@@ -213,14 +214,19 @@ def exact_positions(df: DataFrame, positions: dict[str, list], accuracy: int = 1
 
     Each round asks a sketch for two values around the position and counts exactly how many
     rows lie below and at them. Either value may be the answer; otherwise the position lies
-    strictly between them, or outside. The open interval shrinks with every round because its
-    ends are values of the column, so the search ends; intervals of few rows are read out.
+    strictly between them, or outside. The open interval shrinks with every round because the
+    values asked for lie inside it, so the search ends; intervals of few rows are read out.
     """
     def usable(c: str) -> Column:
         kind = dict(df.dtypes)[c]
         return F.when(~F.isnan(c), F.col(c)) if kind in ("double", "float") else F.col(c)
 
-    n = df.agg(*[F.count(usable(c)).alias(c) for c in positions]).first().asDict()
+    whole = {c for c in positions if dict(df.dtypes)[c] in ("bigint", "int", "smallint", "tinyint")}
+    first = df.agg(
+        *[F.count(usable(c)).alias(c) for c in positions],
+        *[F.min(c).alias(f"{c}|min") for c in whole],
+        *[F.max(c).alias(f"{c}|max") for c in whole]).first()
+    n = {c: first[c] for c in positions}
     # (column, place) -> position, open interval, rows at or below its lower end, rows in it.
     search = {}
     out: dict[str, list] = {c: [None] * len(ps) for c, ps in positions.items()}
@@ -228,7 +234,8 @@ def exact_positions(df: DataFrame, positions: dict[str, list], accuracy: int = 1
         for i, p in enumerate(ps):
             at = p(n[c]) if callable(p) else p
             if n[c] and 0 <= at < n[c]:
-                search[c, i] = (at, None, None, 0, n[c])
+                ends = (first[f"{c}|min"] - 1, first[f"{c}|max"] + 1) if c in whole else (None, None)
+                search[c, i] = (at, *ends, 0, n[c])
     while search:
         inside = {}
         for (c, i), (_, low, high, _, _) in search.items():
@@ -243,11 +250,16 @@ def exact_positions(df: DataFrame, positions: dict[str, list], accuracy: int = 1
                 del search[k]
             continue
         probes = {}
-        sketch = df.agg(*[F.percentile_approx(inside[k], F.array(*[F.lit(q) for q in _around(
-            at - base, rows, accuracy)]), F.lit(accuracy)).alias(f"{k[0]}|{k[1]}")
-            for k, (at, _, _, base, rows) in search.items()]).first()
-        for k in search:
-            probes[k] = sorted(set(sketch[f"{k[0]}|{k[1]}"]))
+        # The sketch computes in doubles, so integers are taken from their lower end.
+        sketch = df.agg(*[F.percentile_approx(
+            F.try_subtract(inside[k], F.lit(low)) if k[0] in whole else inside[k],
+            F.array(*[F.lit(q) for q in _around(at - base, rows, accuracy)]), F.lit(accuracy))
+            .alias(f"{k[0]}|{k[1]}") for k, (at, low, _, base, rows) in search.items()]).first()
+        for k, (_, low, high, _, _) in search.items():
+            found = sketch[f"{k[0]}|{k[1]}"]
+            if k[0] in whole:
+                found = [min(max(low + int(v), low + 1), high - 1) for v in found]
+            probes[k] = sorted(set(found))
         counts = df.agg(*[
             F.count(F.when(test(usable(k[0]), v), 1)).alias(f"{k[0]}|{k[1]}|{j}|{name}")
             for k, vs in probes.items() for j, v in enumerate(vs)

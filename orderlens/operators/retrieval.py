@@ -164,6 +164,10 @@ class LexicalIndex:
         out.vectors = term_vectors(tokens, out.idfs, ["doc_id", "pos"], out.unseen)
         return out
 
+    def kept(self) -> LexicalIndex:
+        """The index with its vectors written, for searches that come in rounds."""
+        return LexicalIndex(staged(self.vectors), staged(self.idfs), self.n_chunks)
+
     def save(self, path: str) -> None:
         self.vectors.write.mode("overwrite").parquet(f"{path}/vectors")
         self.idfs.write.mode("overwrite").parquet(f"{path}/idf")

@@ -529,7 +529,13 @@ def conversation_answers(spark, sf):
     documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
     chunk_table = staged(R.chunks(documents).select("doc_id", "pos", "chunk_text"))
     titles = documents.select("doc_id", F.format_string("Document %d", "doc_id").alias("title"))
-    knowledge = PL.Knowledge(R.LexicalIndex.build(chunk_table), chunk_table, titles)
+    products = staged(catalog(spark, sf))
+    rows = products.select(F.col("product_id").alias("doc_id"), F.lit(0).alias("pos"),
+                           K.searchable_text().alias("chunk_text"))
+    # Written once: every round of follow-ups reads the weighed terms, not the texts.
+    knowledge = PL.Knowledge(
+        R.LexicalIndex.build(chunk_table).kept(), chunk_table, titles, products,
+        R.LexicalIndex.build(rows).kept())
     return PL.answer_conversations(
         turns, staged(order_history(spark, sf)), knowledge, OPERATING)
 

@@ -34,11 +34,26 @@ def tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     return [table(spark, folder, n) for n in names]
 
 
+_order_tables: dict[tuple[str, str], DataFrame] = {}
+
+
 def order_history(spark: SparkSession, folder: str) -> DataFrame:
-    """The order table. The line table is scanned and shuffled once; its per-order result
-    is staged, because the history columns need two passes over it."""
-    orders, lineitem, customer = tables(spark, folder, "orders", "lineitem", "customer")
-    return order_features(staged(labelled_orders(orders, lineitem)), customer)
+    """The order table, built once per application and folder and then read as written.
+
+    The line table is scanned and shuffled once; its per-order result is staged too, because
+    the history columns need two passes over it. ``forget_order_tables`` makes later calls
+    build anew, for a folder whose tables have changed.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _order_tables:
+        orders, lineitem, customer = tables(spark, folder, "orders", "lineitem", "customer")
+        _order_tables[key] = staged(
+            order_features(staged(labelled_orders(orders, lineitem)), customer))
+    return _order_tables[key]
+
+
+def forget_order_tables() -> None:
+    _order_tables.clear()
 
 
 def require_path(spark: SparkSession, path: str) -> None:
