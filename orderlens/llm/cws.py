@@ -21,6 +21,7 @@ from orderlens.session import staged
 
 SAMPLES = 32
 UNIT = 2.0 ** -32
+PASS = 40.0  # see ``sample``: e**-40 is 4e-18
 
 
 def _uniforms(hashed: Column) -> tuple[Column, Column]:
@@ -30,35 +31,74 @@ def _uniforms(hashed: Column) -> tuple[Column, Column]:
     return (low + 0.5) * UNIT, (high + 0.5) * UNIT
 
 
-def sample(word: Column, log_weight: Column, number: int) -> Column:
-    """Value and identity of a word's sample in one long, ordered by value.
+def sample(word: Column, log_weights: list[Column], room: Column, single: Column,
+           number: int) -> list[Column]:
+    """Per weight, value and identity of a word's sample in one long, ordered by value; null
+    for the null logarithm of no weight, and where the word cannot be the smallest.
 
     The upper half holds the value (ln c lies in -25 to 4, r (t - b + 1) in 0 to about 80,
-    so 2**23 steps a unit fit), the lower half a hash of (word, t).
+    so 2**22 steps a unit fit), the lower half a hash of (word, t).
+
+    Most words are ruled out without a logarithm. With x = u1 u2 and y = u3 u4 from uniform
+    numbers, c = -ln x is at least 2 (1 - x) / (1 + x). For weight 1, t is 0 and the value
+    ln(c y**(1 - b)); a geometric mean is no less than the harmonic one, so y**(1 - b) is at
+    least y / (1 - b + b y). For another weight w, r (t - b + 1) is at most ln w + r, and
+    exp(-r) is y. The smallest of a text's values is the logarithm of an exponential draw with
+    the text's weight W as its rate: it passes PASS / W with a probability of e**-PASS.
+    ``room`` is PASS w / W; ``single`` tells that no weight is above 1.
     """
-    first = F.xxhash64(word, F.lit(3 * number))
-    second = F.xxhash64(word, F.lit(3 * number + 1))
-    u1, u2 = _uniforms(first)
-    u3, u4 = _uniforms(second)
+    u1, u2 = _uniforms(F.xxhash64(word, F.lit(3 * number)))
+    u3, u4 = _uniforms(F.xxhash64(word, F.lit(3 * number + 1)))
     beta, _ = _uniforms(F.xxhash64(word, F.lit(3 * number + 2)))
-    c, r = -F.log(u1 * u2), -F.log(u3 * u4)
-    t = F.floor(log_weight / r + beta)
-    value = F.log(c) - r * (t - beta + 1)
-    steps = F.floor(value * 2.0 ** 22).cast("long")
-    return F.call_function("shiftleft", steps, F.lit(32)).bitwiseOR(
-        F.xxhash64(word, t).bitwiseAND(F.lit(0xFFFFFFFF)))
-
-
-def signatures(texts: DataFrame, by: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``sig``: an array of ``samples`` longs for every group of rows (by, _text); groups
-    without words are left out. Partitioned by some of ``by``, it needs no shuffle."""
-    words = texts.select(*by, F.explode(F.split("_text", f"[{BLANKS}]+")).alias("_word"))
-    counts = words.where("_word <> ''").select(*by, F.xxhash64("_word").alias("_word")).groupBy(
-        *by, "_word").agg(F.count("*").alias("_n"))
-    weighted = counts.select(*by, "_word", F.log(F.col("_n").cast("double")).alias("_log"))
+    x, y = u1 * u2, u3 * u4
+    power = F.when(single, 1 - beta).otherwise(F.lit(1.0))
+    may_win = 2 * (1 - x) * y <= room * ((1 + x) * (power + (1 - power) * y))
+    c, r = -F.log(x), -F.log(y)
+
+    def packed(value: Column, t: Column) -> Column:
+        steps = F.floor(value * 2.0 ** 22).cast("long")
+        return F.call_function("shiftleft", steps, F.lit(32)).bitwiseOR(
+            F.xxhash64(word, t).bitwiseAND(F.lit(0xFFFFFFFF)))
+
+    out = []
+    for log_weight in log_weights:
+        t = F.floor(log_weight / r + beta)
+        none = F.lit(0).cast("long")
+        out.append(F.when(may_win & log_weight.isNotNull(), F.when(
+            log_weight == 0, packed(F.log(c) - r * (none - beta + 1), none)).otherwise(
+            packed(F.log(c) - r * (t - beta + 1), t))))
+    return out
+
+
+def signatures(texts: DataFrame, by: list[str], names: list[str],
+               samples: int = SAMPLES) -> DataFrame:
+    """Arrays of ``samples`` longs under ``names`` for every group of rows (by, _role, _text),
+    one per role 0, 1, ...; null for a role without words, and groups without any left out.
+
+    The roles of a group share most words, so a word's row serves all of them. Partitioned by
+    some of ``by``, it needs no shuffle.
+    """
+    roles = range(len(names))
+    split = texts.select(*by, "_role", F.split("_text", f"[{BLANKS}]+").alias("_words"))
+    # Its size is the text's weight, up to two empty pieces at the ends.
+    words = split.select(*by, "_role", F.size("_words").alias("_all"),
+                         F.explode("_words").alias("_word"))
+    counts = words.where("_word <> ''").select(
+        *by, "_role", "_all", F.xxhash64("_word").alias("_word")).groupBy(*by, "_word").agg(
+        *[F.sum((F.col("_role") == i).cast("long")).alias(f"_n{i}") for i in roles],
+        F.min("_all").alias("_all"))
+    most = F.greatest(*[F.col(f"_n{i}") for i in roles])
+    weighted = counts.select(
+        *by, "_word", (PASS * most / F.greatest(F.col("_all") - 2, F.lit(1))).alias("_room"),
+        (most == 1).alias("_single"),
+        *[F.log(F.col(f"_n{i}").cast("double")).alias(f"_log{i}") for i in roles])
+    drawn = [sample(F.col("_word"), [F.col(f"_log{i}") for i in roles], F.col("_room"),
+                    F.col("_single"), k) for k in range(samples)]
     least = weighted.groupBy(*by).agg(*[
-        F.min(sample(F.col("_word"), F.col("_log"), k)).alias(f"_s{k}") for k in range(samples)])
-    return least.select(*by, F.array(*[f"_s{k}" for k in range(samples)]).alias("sig"))
+        F.min(values[i]).alias(f"_s{i}_{k}") for k, values in enumerate(drawn) for i in roles])
+    return least.select(*by, *[
+        F.when(F.col(f"_s{i}_0").isNotNull(), F.array(*[f"_s{i}_{k}" for k in range(samples)]))
+        .alias(name) for i, name in enumerate(names)])
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -135,10 +175,7 @@ def compare(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     both = edits.select(*key, F.explode(F.array(
         F.struct(F.lit(0).alias("_role"), F.col("_text").alias("_text")),
         F.struct(F.lit(1).alias("_role"), F.col("_edited").alias("_text")))).alias("_r"))
-    sigs = signatures(both.select(*key, "_r.*"), [*key, "_role"], samples)
-    pairs = sigs.groupBy(*key).agg(*[
-        F.first(F.when(F.col("_role") == role, F.col("sig")), ignorenulls=True).alias(name)
-        for role, name in enumerate(("_own", "_other"))])
+    pairs = signatures(both.select(*key, "_r.*"), key, ["_own", "_other"], samples)
     facts = edits.select(*key, "_next_doc", "_next_hash",
                          F.col("_size").cast("long").alias("n_chars"),
                          F.sha2("_edited", 256).alias("edited_sha256"))
