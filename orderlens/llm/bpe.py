@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 SLICE = 1_000_000      # characters whose chunks meet in one replay
-REMEMBERED = 300_000   # distinct chunks in the newer of two generations a worker keeps
+REMEMBERED = 150_000   # distinct chunks in the newer of two generations a worker keeps
+ROWS = 500             # texts of an Arrow batch handled at once
 NONE = -1
 
 
@@ -180,6 +181,13 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return Encoder(_ranks(path), pattern)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ROWS, so that no worker holds many texts twice."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def encode(docs: DataFrame, path: str, pattern: str, doc: str = "doc_id",
            text: str = "text") -> DataFrame:
     """doc_id, n_tokens, and ids as little-endian unsigned 32-bit integers.
@@ -189,7 +197,7 @@ def encode(docs: DataFrame, path: str, pattern: str, doc: str = "doc_id",
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern)
-        for batch in batches:
+        for batch in _parts(batches):
             ids = encoder.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
@@ -204,7 +212,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The encoded table with ``decoded``, the bytes its ids stand for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: word for word, rank in _ranks(path).items()}
-        for batch in batches:
+        for batch in _parts(batches):
             texts = [b"".join([token[i] for i in memoryview(ids).cast("I")])
                      for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
