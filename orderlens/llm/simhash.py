@@ -37,6 +37,7 @@ WIDE_LIMIT = 247
 WIDE_WIDTH = 5
 AHEAD = 2      # members after each one in a block that it is compared with
 HOT_BLOCK = 5_000
+PROBE = 16
 
 
 def shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -244,8 +245,11 @@ def wide_links(prints: DataFrame, words: int = WIDE_WORDS, limit: int = WIDE_LIM
         for w in range(words) for i in range(per_word)])
     keyed = prints.select("node", F.explode(blocks).alias("_b")).select("node", "_b.*")
     most = F.lit(max(HOT_BLOCK, prints.count() // 1000))
-    # At most a thousand such blocks for every k.
-    hot = keyed.groupBy("k", "v").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    # Where to cut is read off one node in PROBE, as it only deals out the work; no more than
+    # about a thousand blocks for every k can be that large.
+    probe = F.pmod(F.xxhash64("node"), F.lit(PROBE)) == 0
+    hot = keyed.where(probe).groupBy("k", "v").agg(F.count("*").alias("n")).where(
+        F.col("n") * PROBE > most)
     run = F.when(F.col("n").isNotNull(), F.shiftrightunsigned("order", 60)).otherwise(0)
     cut = keyed.join(F.broadcast(hot), ["k", "v"], "left").withColumn("run", run)
     block = W.partitionBy("k", "v", "run").orderBy("order", "node")

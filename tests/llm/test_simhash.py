@@ -144,6 +144,7 @@ def test_stage_keeps_the_smallest_id_of_equal_texts(spark):
 
 def test_runs_of_a_hot_block_stay_linked(spark, monkeypatch):
     monkeypatch.setattr(simhash, "HOT_BLOCK", 3)
+    monkeypatch.setattr(simhash, "PROBE", 1)
     rnd = random.Random(5)
     base = [rnd.getrandbits(63) for _ in range(simhash.WIDE_WORDS)]
     rows = []
