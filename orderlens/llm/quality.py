@@ -1,9 +1,9 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
 A line counts as boilerplate of a host if more distinct documents of the host hold it than
-the limit allows, and its neighbours vary. The second test keeps copies apart from
-boilerplate: the lines of a document that was copied a thousand times always stand between
-the same lines. Documents that lose too large a part of their words are depleted.
+the limit allows. Documents with the same lines in the same order count once, which keeps
+copies apart from boilerplate: a text that was copied a thousand times is one document.
+Documents that lose too large a part of their words are depleted.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ MOST_REPEATED = 50   # percent of words in repeated windows
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS = 10        # a line in no more documents of a host is never boilerplate ...
 SHARE = 0.005        # ... nor one in no more than this share of them
-SAME_NEIGHBOUR = 0.5  # a line whose usual neighbour has this share is part of copies
+SAME_NEIGHBOUR = 0.5  # of the SQL only
 MOST_REMOVED = 0.5   # a document that loses more of its words is depleted
 
 
@@ -86,41 +86,22 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
     """Boilerplate (_host, h) of a written table (_row, _host, _lines), with the number of
     lines it stands for as ``n``.
 
-    All counts combine before the shuffle; a line that every document of a hot host holds
-    costs one row per task.
+    Of documents with equal lines only the first is counted. All counts combine before the
+    shuffle; a line that every document of a hot host holds costs one row per task.
     """
     hosts = staged(rows.groupBy("_host").agg(F.count("*").alias("_all")))
-    hashes = F.array_distinct(F.transform("_lines", lambda x: x["h"]))
-    counts = rows.select("_host", F.explode(hashes).alias("h")).groupBy("_host", "h").agg(
-        F.count("*").alias("docs")).where(F.col("docs") > min_docs)
-    counts = lookup(counts, hosts, ["_host"], "_all").where(
-        F.col("docs") > share * F.col("_all"))
-    suspects = staged(counts.select("_host", "h", "docs"))
-
-    padded = rows.select("_row", "_host", F.transform("_lines", lambda x: x["h"]).alias("_h"))
-    padded = padded.select("_row", "_host", F.arrays_zip(
-        F.col("_h").alias("h"),
-        F.concat(F.array(F.lit(None).cast("long")), F.slice("_h", F.lit(1), F.greatest(
-            F.size("_h") - 1, F.lit(0)))).alias("left"),
-        shifted(F.col("_h"), 1).alias("right")).alias("_z"))
-    places = padded.select("_row", "_host", F.inline("_z")).where(F.col("h").isNotNull())
-    held = lookup(places, suspects, ["_host", "h"], "docs").where(F.col("docs").isNotNull())
-    sides = held.select("_row", "_host", "h", "docs", F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.col("left").alias("near")),
-        F.struct(F.lit(1).alias("side"), F.col("right").alias("near")))).alias("_s"))
-    per_doc = sides.select("_row", "_host", "h", "docs", "_s.*").distinct()
-    # Documents per neighbour, none at the text's edge, then the usual neighbour of a side.
-    per_near = per_doc.groupBy("_host", "h", "docs", "side", "near").agg(F.count("*").alias("c"))
-    inside = F.col("near").isNotNull()
-    per_side = per_near.groupBy("_host", "h", "docs", "side").agg(
-        F.max(F.when(inside, F.col("c"))).alias("usual"),
-        F.sum(F.when(inside, F.col("c"))).alias("inside"))
-    # A side is looked at where most documents have a neighbour there.
-    varies = (2 * F.col("inside") > F.col("docs")) & (
-        F.col("usual") < SAME_NEIGHBOUR * F.col("docs"))
-    judged = per_side.groupBy("_host", "h", "docs").agg(
-        F.max(F.coalesce(varies, F.lit(False))).alias("varies"))
-    return judged.where("varies").select("_host", "h", F.col("docs").alias("n"))
+    hashes = F.transform("_lines", lambda x: x["h"])
+    texts = rows.select("_row", "_host", hashes.alias("_h")).withColumn("_text", F.xxhash64("_h"))
+    copied = staged(texts.groupBy("_host", "_text").agg(
+        F.min("_row").alias("_first"), F.count("*").alias("_copies")).where("_copies > 1"))
+    distinct = lookup(texts, copied, ["_host", "_text"], "_copies").where(
+        F.col("_first").isNull() | (F.col("_first") == F.col("_row")))
+    copies = F.coalesce("_copies", F.lit(1))
+    counts = distinct.select("_host", copies.alias("_n"), F.explode(
+        F.array_distinct("_h")).alias("h")).groupBy("_host", "h").agg(
+        F.count("*").alias("docs"), F.sum("_n").alias("n")).where(F.col("docs") > min_docs)
+    return lookup(counts, hosts, ["_host"], "_all").where(
+        F.col("docs") > share * F.col("_all")).select("_host", "h", "n")
 
 
 def removed_words(rows: DataFrame, frequent: DataFrame) -> DataFrame:

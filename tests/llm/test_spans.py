@@ -74,6 +74,28 @@ def test_boilerplate_goes_and_copies_stay(spark, monkeypatch):
     assert all(out[300 + i]["n_removed_lines"] == 0 for i in range(3))
 
 
+def test_header_and_footer_of_several_lines_go(spark):
+    import random
+
+    rnd = random.Random(6)
+
+    def sentence(n):
+        return " ".join(f"v{rnd.randrange(10_000)}" for _ in range(n))
+
+    top, foot = ["home news", "sign in"], ["all rights", "our terms", "last line"]
+    rows = [(i, "\n".join([*top, sentence(60), sentence(30), *foot]), "h") for i in range(30)]
+    block = ["fixed part " + "of words " * 20 + str(i) * 3 for i in "abc"]
+    rows += [(100 + i, "\n".join([sentence(10), *block]), "h") for i in range(30)]
+    copied = "\n".join(sentence(30) for _ in range(3))
+    rows += [(200 + i, copied, "h") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r for r in quality.judged(docs).collect()}
+    assert all(out[i]["n_removed_lines"] == 5 and out[i]["kept"] for i in range(30))
+    assert all(out[100 + i]["n_removed_lines"] == 3 and not out[100 + i]["kept"]
+               for i in range(30))
+    assert all(out[200 + i]["n_removed_lines"] == 0 and out[200 + i]["kept"] for i in range(40))
+
+
 def test_removed_lines_leave_the_text(spark):
     from pyspark.sql import functions as F
 
