@@ -18,7 +18,8 @@ MIN_WORDS = 50
 MOST_REPEATED = 50   # percent of words in repeated windows
 SYMBOLS = "#*$%&|<>"
 MIN_DOCS = 10        # a line in no more documents of a host is never boilerplate ...
-SHARE = 0.005        # ... nor one in no more than this share of them
+SHARE = 0.005        # ... nor one in no more than this share of them,
+MOST_SHARE = 100     # which asks for no more than so many, however large the host
 SAME_NEIGHBOUR = 0.5  # of the SQL only
 MOST_REMOVED = 0.5   # a document that loses more of its words is depleted
 
@@ -100,8 +101,9 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
     counts = distinct.select("_host", copies.alias("_n"), F.explode(
         F.array_distinct("_h")).alias("h")).groupBy("_host", "h").agg(
         F.count("*").alias("docs"), F.sum("_n").alias("n")).where(F.col("docs") > min_docs)
+    limit = F.least(share * F.col("_all"), F.lit(float(MOST_SHARE)))
     return lookup(counts, hosts, ["_host"], "_all").where(
-        F.col("docs") > share * F.col("_all")).select("_host", "h", "n")
+        F.col("docs") > limit).select("_host", "h", "n")
 
 
 def removed_words(rows: DataFrame, frequent: DataFrame) -> DataFrame:

@@ -96,6 +96,21 @@ def test_header_and_footer_of_several_lines_go(spark):
     assert all(out[200 + i]["n_removed_lines"] == 0 and out[200 + i]["kept"] for i in range(40))
 
 
+def test_limit_does_not_grow_with_a_large_host(spark):
+    from pyspark.sql import functions as F
+
+    notice = F.when(F.col("id") < 150, F.lit("\na notice of the house"))
+    rare = F.when(F.col("id").between(200, 290), F.lit("\na rarer line"))
+    docs = spark.range(40_000).select(
+        F.col("id").alias("_row"), F.lit("h").alias("_host"),
+        F.concat(F.concat(F.lit("text "), F.translate(F.col("id").cast("string"), "0123456789",
+                                                      "abcdefghij")),
+                 F.coalesce(notice, F.lit("")), F.coalesce(rare, F.lit(""))).alias("t"))
+    found = quality.frequent_lines(quality.with_lines(docs, "t")).collect()
+    line = spark.range(1).select(F.xxhash64(F.lit("a notice of the house"))).first()[0]
+    assert [(r["h"], r["n"]) for r in found] == [(line, 150)]
+
+
 def test_removed_lines_leave_the_text(spark):
     from pyspark.sql import functions as F
 
