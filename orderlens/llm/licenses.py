@@ -98,9 +98,12 @@ def token_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
 
 def template_labels(docs: DataFrame, threshold: float = THRESHOLD,
                     templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """(_doc, _hash, labels, score) of documents with a line that contains at least
+    """(_doc, _hash, labels, score) of documents with a block that contains at least
     ``threshold`` of a template's distinct tokens; score is the best containment.
 
+    Blocks are the lines, and for notices wrapped over lines every run of consecutive words of
+    the whole text that is as long as the template with a share of 1 - ``threshold`` put in.
+
     The template side is a constant of this module, so its broadcasts are small at any size
     of the corpus. The documents are never shuffled, only the blocks that match.
     """
@@ -131,12 +134,43 @@ def template_labels(docs: DataFrame, threshold: float = THRESHOLD,
         (F.col("_size") >= F.col("_need"))
         & (F.least("_at", "_pos") + rest >= F.col("_need")))
     overlap = F.size(F.array_intersect("_block", "_template"))
-    met = passed.withColumn("_overlap", overlap).where("_overlap >= _need")
+    met = passed.withColumn("_overlap", overlap).where("_overlap >= _need").select(
+        "_doc", "_hash", "label", "_overlap", "_template")
+    met = met.union(wrapped(docs, wanted, starts, threshold, templates))
     return met.groupBy("_doc", "_hash").agg(
         F.collect_set("label").alias("_labels"),
         F.max(F.col("_overlap") / F.size("_template")).alias("_score"))
 
 
+def wrapped(docs: DataFrame, wanted: DataFrame, starts: Column, threshold: float,
+            templates: dict[str, str]) -> DataFrame:
+    """(_doc, _hash, label, _overlap, _template) of runs of words that hold a template.
+
+    A run that holds it has one of its prefix tokens, so only the words around such a token are
+    looked at: first whether they hold enough tokens at all, then every run through it.
+    """
+    lengths = {label: math.ceil(len(t.split()) / threshold) for label, t in templates.items()}
+    widest = max(lengths.values())
+    length = F.element_at(F.create_map(*[F.lit(x) for kv in lengths.items() for x in kv]),
+                          F.col("label"))
+    several = docs.where(whole().contains("\n")).select(
+        *document_key(), license_words(whole()).alias("_w")).where(F.arrays_overlap("_w", starts))
+    at = F.filter(F.transform("_w", lambda w, i: F.when(F.array_contains(starts, w), i)),
+                  lambda i: i.isNotNull())
+    around = F.transform(at, lambda i: F.struct(
+        F.element_at("_w", i + 1).alias("token"), F.least(i, F.lit(widest - 1)).alias("_before"),
+        F.slice("_w", F.greatest(i - widest + 2, F.lit(1)), F.least(i, F.lit(widest - 1)) + widest)
+        .alias("_near")))
+    near = several.select("_doc", "_hash", F.inline(around)).join(
+        F.broadcast(wanted), "token").withColumn("_length", length).where(
+        F.size(F.array_intersect("_near", "_template")) >= F.col("_need"))
+    first = F.greatest(F.col("_before") - F.col("_length") + 2, F.lit(1))
+    best = F.array_max(F.transform(F.sequence(first, F.col("_before") + 1), lambda s: F.size(
+        F.array_intersect(F.slice("_near", s, F.col("_length")), F.col("_template")))))
+    return near.withColumn("_overlap", best).where("_overlap >= _need").select(
+        "_doc", "_hash", "label", "_overlap", "_template")
+
+
 def scan(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 

@@ -181,3 +181,20 @@ def test_widely_copied_values_are_examples(spark):
     assert all(out[i]["spans"] == "" for i in range(8))
     assert out[90]["spans"] == "github:2:42" and out[90]["n_live"] == 1
     assert out[91]["spans"] == "assign:0:15" and out[91]["base_spans"] == "assign:0:15"
+
+
+def test_wrapped_notices_are_found(spark):
+    rows = []
+    for width in (3, 5, 8):
+        for text in licenses.TEMPLATES.values():
+            w = text.split()
+            lines = [" * " + " ".join(w[i:i + width]) for i in range(0, len(w), width)]
+            rows.append((len(rows), "\n".join(["some code above", *lines, "and more below"]), "s"))
+    far = licenses.TEMPLATES["isc"].split()
+    rows.append((900, "\n".join(f"{w} " + "filler " * 40 for w in far), "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(docs).collect()}
+    names = list(licenses.TEMPLATES)
+    for n in range(len(rows) - 1):
+        assert names[n % len(names)] in out[n], rows[n]
+    assert "isc" not in out[900]
