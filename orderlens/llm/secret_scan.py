@@ -4,8 +4,8 @@ Spark has no function for the places of all matches. Splitting a text by a patte
 gaps between its matches, so a match starts where the gaps and matches before it end; the
 running sum is a window over one document's matches. DataFrame functions only.
 
-A value that many owners hold is a copied example; one that a single owner or two hold looks
-live. Base spans are always reported, spans of the further kinds only where they look live.
+A value that many owners or many repositories hold is a copied example; one that a single owner
+or two hold in few repositories looks live. Base spans are always reported, spans of the further kinds only where they look live.
 """
 
 from __future__ import annotations
@@ -32,7 +32,8 @@ MORE = {
     "pem": (r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]+", 0, 60, "-----BEGIN "),
 }
 ORDER = [*BASE, *MORE]
-MOST_OWNERS = 2  # a value of more owners is an example
+MOST_OWNERS = 2  # a value of more owners is an example,
+MOST_REPOS = 20  # and so is one in more repositories, under however few owners
 
 
 def matches(docs: DataFrame, kind: str, pattern: str, group: int, least: int,
@@ -69,7 +70,8 @@ def ownership(spans: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, owner: str = "source", repo: str = "doc_id", doc: str = "doc_id",
-         text: str = "text", most_owners: int = MOST_OWNERS) -> DataFrame:
+         text: str = "text", most_owners: int = MOST_OWNERS,
+         most_repos: int = MOST_REPOS) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_spans, spans, n_live, n_example.
 
     ``owner`` and ``repo`` name the columns that own a document. Span lists are text,
@@ -88,7 +90,7 @@ def scan(docs: DataFrame, owner: str = "source", repo: str = "doc_id", doc: str
     spans = staged(spans)
     owners = staged(ownership(spans))
     known = lookup(spans, owners, ["value"], "rows").withColumn(
-        "live", F.col("owners") <= most_owners)
+        "live", (F.col("owners") <= most_owners) & (F.col("repos") <= most_repos))
     name = F.element_at(F.array(*map(F.lit, ORDER)), F.col("kind") + 1)
     told = F.concat_ws(":", name, F.col("start"), F.col("end"))
     base = F.col("kind") < len(BASE)

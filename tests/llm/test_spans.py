@@ -198,3 +198,13 @@ def test_wrapped_notices_are_found(spark):
     for n in range(len(rows) - 1):
         assert names[n % len(names)] in out[n], rows[n]
     assert "isc" not in out[900]
+
+
+def test_a_value_copied_widely_inside_one_owner_is_an_example(spark):
+    key = "ghp_" + "Cd2" * 12
+    rows = [(i, f"x {key} y", "hot") for i in range(60)]
+    rows += [(90 + i, "x ghp_" + "Yy8" * 12 + " y", "hot") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r["doc_id"]: r for r in secret_scan.scan(docs).collect()}
+    assert all(out[i]["n_live"] == 0 and out[i]["spans"] == "" for i in range(60))
+    assert all(out[90 + i]["n_live"] == 1 and out[90 + i]["spans"] for i in range(3))
