@@ -133,3 +133,23 @@ SELECT conv_id, count(*) AS n_turns,
     AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+NEGATIVES = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT * FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.r AS ar, a.vec_id AS anchor_id, v.r, v.vec_id, a.label = v.label AS same,
+    list_dot_product(a.q, v.q)::BIGINT AS score FROM a JOIN v ON a.r <> v.r),
+p AS (SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id NULLS LAST) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+    p.score AS positive_score, s.score AS negative_score, row_number() OVER (
+      PARTITION BY p.ar, p.r ORDER BY s.score DESC, s.vec_id NULLS LAST)::INTEGER AS rank
+  FROM p JOIN s ON p.ar = s.ar AND NOT s.same
+    AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
+"""

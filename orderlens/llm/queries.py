@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, and their SQL where SQL can say it."""
+"""The operators over their whole tables, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import (bpe, chat, cws, licenses, oracles, packing, pii, quality, secret_scan,
-                           simhash, urls)
+from orderlens.llm import (bpe, chat, cws, licenses, negatives, oracles, packing, pii, quality,
+                           secret_scan, simhash, urls)
 from orderlens.plans.registry import Registry
 
 queries = Registry()
@@ -91,3 +91,11 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id long, turn long, role string, text string")
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.in_order(chat.format_turns(turns.unionByName(extra))))
+
+
+@queries.query(oracles.NEGATIVES)
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id", label.alias("label"), negatives.quantised("embedding", 256).alias("vector"))
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
