@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import (bpe, chat, cws, licenses, negatives, oracles, packing, pii, quality,
-                           secret_scan, simhash, urls)
+from orderlens.llm import (bpe, chat, cws, licenses, negatives, oracles, packing, periodic, pii,
+                           quality, secret_scan, simhash, urls)
 from orderlens.plans.registry import Registry
 
 queries = Registry()
@@ -99,3 +99,16 @@ def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", label.alias("label"), negatives.quantised("embedding", 256).alias("vector"))
     return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+@queries.query()
+def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.runs(periodic.with_planted_period(table(spark, folder, "documents")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    every = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    start, length, period = (F.col(f"best.{name}") for name in ("start", "length", "period"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"),
+        length.alias("length"), period.alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(every, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
