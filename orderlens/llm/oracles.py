@@ -153,3 +153,18 @@ n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 FROM n WHERE rank <= 10
 """
+
+PASSAGES = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(
+    string_split_regex(coalesce(text, ''), '[{BLANK}]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+h AS (SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM p),
+o AS (SELECT h.r, h.i FROM h JOIN (SELECT h, min(doc_id) AS f FROM h GROUP BY h) m ON h.h = m.h
+  WHERE h.doc_id > m.f),
+g AS (SELECT DISTINCT r, unnest(range(i, i + 50)) AS i FROM o),
+u AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT r, string_agg(x, ' ' ORDER BY i) AS kept, count(*) AS n
+  FROM u ANTI JOIN g ON u.r = g.r AND u.i = g.i GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k ON d.r = k.r
+"""

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm import (bpe, chat, cws, licenses, negatives, oracles, packing, periodic, pii,
-                           quality, secret_scan, simhash, urls)
+from orderlens.llm import (bpe, chat, cws, licenses, negatives, oracles, packing, passages,
+                           periodic, pii, quality, secret_scan, simhash, urls)
 from orderlens.plans.registry import Registry
 
 queries = Registry()
@@ -112,3 +112,9 @@ def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
         length.alias("length"), period.alias("period"),
         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
         F.sha2(every, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@queries.query(oracles.PASSAGES)
+def op13_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.dedup(table(spark, folder, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
