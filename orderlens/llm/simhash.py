@@ -1,9 +1,8 @@
-"""Near-duplicates: SimHash fingerprints with links by shared blocks, exact shingle sets with
-links by shared prefixes, connected components.
+"""Near-duplicates: SimHash fingerprints, links by shared blocks, connected components.
 
-A fingerprint is one or more 64-bit words. Its bits are cut into blocks so that close
-fingerprints share some; rows meet on blocks and the Hamming distance is then verified.
-Equal fingerprints are one row from the start, so copies never make pairs.
+The 64 bits are cut into blocks so that close fingerprints share some; rows meet on blocks and
+the Hamming distance is then verified. Equal fingerprints are one row from the start, so copies
+never make pairs.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import lookup
@@ -28,24 +26,6 @@ SMALL_BLOCK = 64
 STEP = 50_000  # shingles whose bits are counted at once
 BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 
-# Wide fingerprints for a similarity of 0.8 on five-word shingles. Vectors of that Jaccard
-# similarity have a cosine near 8/9, so they differ in 15.1 % of random bits: 233 of 1,536,
-# with a standard deviation of 14. The limit is one deviation above. They share one of the 72
-# blocks of 21 bits with a probability of 0.9, at similarity 0.85 of 0.98.
-WIDE_WORDS = 24
-WIDE_BLOCK = 21
-WIDE_LIMIT = 247
-WIDE_WIDTH = 5
-AHEAD = 2      # members after each one in a block that it is compared with
-HOT_BLOCK = 5_000
-PROBE = 16
-
-# Exact links of shingle sets.
-PART_ROWS = 1_000      # documents whose sets are built at once
-COMMON_SEEN = 4        # a shingle in so many sets of the probe goes to the end of the order ...
-MOST_COMMON = 65_536   # ... the most common ones, that is
-TILE = 512             # members of a group that meet in one join key
-
 
 def shingle_hashes(text: str, width: int) -> np.ndarray:
     """XXH64 of the word shingles, repeats included; with fewer words, of all of them.
@@ -63,37 +43,23 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
     return np.fromiter((digest(s, SEED) for s in joined), np.uint64, count)
 
 
-def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
-    """The hash itself for the first word, for others an independent mix of it."""
-    if not word:
-        return hashes
-    with np.errstate(over="ignore"):
-        z = hashes + np.uint64((word * 0x9E3779B97F4A7C15) & (2 ** 64 - 1))
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return z ^ (z >> np.uint64(31))
-
-
-def majority(hashes: np.ndarray, words: int = 1) -> np.ndarray:
-    """Bits set in more than half of the hashes, as ``words`` signed 64-bit integers.
+def majority(hashes: np.ndarray) -> int:
+    """Bits set in more than half of the hashes, as a signed 64-bit integer.
 
     Byte values are counted per byte place; a table of the 256 values' bits turns the counts
     into bit counts, which spares unpacking every hash.
     """
-    counts = np.zeros((words * 8, 8), np.int64)
+    counts = np.zeros((8, 8), np.int64)
     place = (np.arange(8) * 256).astype(np.intp)
     for at in range(0, len(hashes), STEP):
-        part = hashes[at:at + STEP]
-        for word in range(words):
-            seen = _mixed(part, word).astype(">u8").view(np.uint8).reshape(-1, 8)
-            values = np.bincount((seen + place).ravel(), minlength=2048).reshape(8, 256)
-            counts[8 * word:8 * word + 8] += values @ BYTE_BITS
-    return np.packbits(counts * 2 > len(hashes), axis=1).reshape(words, 8).view(">i8") \
-        .ravel().astype(np.int64)
+        seen = hashes[at:at + STEP].astype(">u8").view(np.uint8).reshape(-1, 8)
+        values = np.bincount((seen + place).ravel(), minlength=2048).reshape(8, 256)
+        counts += values @ BYTE_BITS
+    return int(np.packbits(counts * 2 > len(hashes), axis=1).reshape(8).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, width: int, words: int = 1, text: str = "text") -> DataFrame:
-    """The rows without their text, with ``fp``: one long, or an array of ``words`` longs.
+def fingerprints(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
+    """The rows without their text, with the long ``fp``.
 
     A text without words, an empty or a null one has fingerprint zero.
     """
@@ -101,20 +67,13 @@ def fingerprints(docs: DataFrame, width: int, words: int = 1, text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [majority(shingle_hashes(t.as_py() or "", width), words)
-                      for t in batch.column(0)]
-            flat = np.concatenate(prints) if prints else np.zeros(0, np.int64)
-            column = pa.array(flat, pa.int64())
-            if words > 1:
-                offsets = pa.array(np.arange(len(prints) + 1, dtype=np.int32) * words)
-                column = pa.ListArray.from_arrays(offsets, column)
+            prints = [majority(shingle_hashes(t.as_py() or "", width)) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], column], [*[f.name for f in rest], "fp"])
+                [*batch.columns[1:], pa.array(prints, pa.int64())],
+                [*[f.name for f in rest], "fp"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    kind = "long" if words == 1 else "array<long>"
-    return docs.select(text, *[f"`{f.name}`" for f in rest]).mapInArrow(
-        run, f"{kinds}, fp {kind}" if kinds else f"fp {kind}")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rest)
+    return docs.select(text, *[f"`{f.name}`" for f in rest]).mapInArrow(run, f"{kinds}fp long")
 
 
 def _block_keys(fp: Column) -> list[tuple[int, Column, int]]:
@@ -207,6 +166,18 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
     raise RuntimeError("components: not settled")
 
 
+def _best_of_classes(rows: DataFrame, best: Column) -> DataFrame:
+    """(fp, n, best): every fingerprint of the rows, their number, and the least ``best`` of
+    all rows reachable over links of two or fewer differing bits."""
+    prints = staged(rows.groupBy("fp").agg(F.min(best).alias("first"), F.count("*").alias("n")))
+    roots = components(close_links(prints.select("fp")))
+    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "root", F.coalesce("root", "fp"))
+    named = staged(rooted)
+    least = named.groupBy("root").agg(F.min("first").alias("best"))
+    return staged(named.join(least, "root").select("fp", "n", "best"))
+
+
 def classes(docs: DataFrame, width: int = 3, doc: str = "doc_id",
             text: str = "text") -> DataFrame:
     """One row per document: doc_id, fp, and component_id, the smallest doc_id reachable over
@@ -217,219 +188,20 @@ def classes(docs: DataFrame, width: int = 3, doc: str = "doc_id",
     """
     rows = staged(fingerprints(docs.select(F.col(doc).cast("long").alias("doc_id"),
                                            F.col(text).alias("text")), width))
-    prints = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first"),
-                                           F.count("*").alias("n")))
-    roots = components(close_links(prints.select("fp")))
-    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp"))
-    named = staged(rooted)
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    found = staged(named.join(least, "root").select("fp", "component_id", "n"))
+    found = _best_of_classes(rows, F.col("doc_id")).withColumnRenamed("best", "component_id")
     return lookup(rows, found, ["fp"], "n").select("doc_id", "fp", "component_id")
 
 
-def hex_of(fp: Column) -> Column:
-    """16 lowercase hex digits."""
-    return F.lower(F.lpad(F.hex(fp), 16, "0"))
-
-
-def wide_links(prints: DataFrame, words: int = WIDE_WORDS, limit: int = WIDE_LIMIT) -> DataFrame:
-    """Links (a, b), a < b, between rows (node, fp) of distinct wide fingerprints that share a
-    block and differ in at most ``limit`` bits. This is an estimate that can miss links; the
-    pipeline uses ``similar_links``.
+def representatives(docs: DataFrame, width: int = 3) -> DataFrame:
+    """``_row`` of one document of each class, out of (_row, doc_id, text) with distinct ``_row``.
 
-    In a block, members are ordered by the word after the block's, where close fingerprints
-    stand together, and each is compared with the first one and the next AHEAD. That is linear
-    in the block; close members that miss each other in one block meet in others, or through
-    a third. Blocks of more than HOT_BLOCK members and a thousandth of all rows are cut into
-    sixteen runs of that order, so that no task gets a whole one.
+    The smallest doc_id stays, a null one only where there is no other; ties go by row number.
     """
-    per_word = 64 // WIDE_BLOCK
-    blocks = F.array(*[
-        F.struct(F.lit(w * per_word + i).cast("short").alias("k"),
-                 F.shiftrightunsigned(F.col("fp")[w], WIDE_BLOCK * i)
-                 .bitwiseAND(F.lit(2 ** WIDE_BLOCK - 1)).cast("int").alias("v"),
-                 F.col("fp")[(w + 1) % words].alias("order"))
-        for w in range(words) for i in range(per_word)])
-    keyed = prints.select("node", F.explode(blocks).alias("_b")).select("node", "_b.*")
-    most = F.lit(max(HOT_BLOCK, prints.count() // 1000))
-    # Where to cut is read off one node in PROBE, as it only deals out the work; no more than
-    # about a thousand blocks for every k can be that large.
-    probe = F.pmod(F.xxhash64("node"), F.lit(PROBE)) == 0
-    hot = keyed.where(probe).groupBy("k", "v").agg(F.count("*").alias("n")).where(
-        F.col("n") * PROBE > most)
-    run = F.when(F.col("n").isNotNull(), F.shiftrightunsigned("order", 60)).otherwise(0)
-    cut = keyed.join(F.broadcast(hot), ["k", "v"], "left").withColumn("run", run)
-    block = W.partitionBy("k", "v", "run").orderBy("order", "node")
-    around = cut.select("node", F.array(
-        F.first("node").over(block),
-        *[F.lead("node", n).over(block) for n in range(1, AHEAD + 1)]).alias("_near"))
-    met = around.select("node", F.explode("_near").alias("other"))
-    # The runs of a hot block stay linked through their first members.
-    firsts = cut.where(F.col("n").isNotNull()).groupBy("k", "v", "run").agg(
-        F.min_by("node", F.struct("order", "node")).alias("node"))
-    chain = firsts.select("node", F.lead("node").over(
-        W.partitionBy("k", "v").orderBy("run")).alias("other"))
-    pairs = met.union(chain).where("other is not null and node <> other").select(
-        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-    left = prints.select(F.col("node").alias("a"), F.col("fp").alias("_x"))
-    right = prints.select(F.col("node").alias("b"), F.col("fp").alias("_y"))
-    differ = F.aggregate(F.zip_with("_x", "_y", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                         F.lit(0), lambda s, n: s + n)
-    return pairs.join(left, "a").join(right, "b").where(differ <= limit).select("a", "b")
-
-
-def shingle_sets(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
-    """(_row, doc_id, text) as (_row, doc_id, key, n, shingles): the sorted distinct shingle
-    hashes, their number, and a 128-bit hash of them, equal for equal sets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, PART_ROWS):
-                part = batch.slice(at, PART_ROWS)
-                sets = [np.unique(shingle_hashes(t.as_py() or "", width).view(np.int64))
-                        for t in part.column(2)]
-                sizes = np.array([len(s) for s in sets], np.int32)
-                offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1),
-                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                     pa.array(sizes),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))],
-                    ["_row", "doc_id", "key", "n", "shingles"])
-
-    return docs.select("_row", "doc_id", "text").mapInArrow(
-        run, f"_row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, key binary, "
-             "n int, shingles array<long>")
-
-
-def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that stand out in one set of PROBE, sorted, with their counts there. They only
-    shape the order of ``prefixes``; any order gives the same links."""
-    probe = sets.where(F.pmod(F.xxhash64("_row"), F.lit(PROBE)) == 0)
-    rows = probe.select(F.explode("shingles").alias("s")).groupBy("s").count().where(
-        F.col("count") >= COMMON_SEEN).orderBy(F.desc("count"), "s").limit(MOST_COMMON).collect()
-    rows.sort()
-    return (np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64))
-
-
-def prefixes(sets: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(_row, n, prefix): so many of a set's shingles, rarest first, that two sets of Jaccard
-    similarity 0.8 have one of them in common. A set shares at least 0.8 of its shingles with
-    such a partner, so leaving out one less than that many leaves a shared one."""
-    known, counts = common
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            flat, offsets = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            flat = flat.astype(np.int64, copy=False)
-            weight = np.zeros(len(flat), np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
-                weight = np.where(known[at] == flat, counts[at], 0)
-            first, out = offsets[0], []
-            for low, high in zip(offsets - first, offsets[1:] - first):
-                n = high - low
-                order = np.argsort(weight[low:high], kind="stable")
-                out.append(flat[low:high][order[:n - (4 * n + 4) // 5 + 1]])
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int32)
-            tokens = np.concatenate(out) if out else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens, pa.int64()))],
-                ["_row", "n", "prefix"])
-
-    return sets.select("_row", "n", "shingles").mapInArrow(
-        run, "_row long, n int, prefix array<long>")
-
-
-def _may_link(a: str, b: str) -> Column:
-    """Can sets with a shingle in common at these places of their prefixes, and none before,
-    be of similarity 0.8? Every such pair passes at its first common shingle."""
-    n, m = F.col(f"{a}n"), F.col(f"{b}n")
-    left = F.least(n - F.col(f"{a}pos"), m - F.col(f"{b}pos"))
-    return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (9 * left >= 4 * (n + m))
-
-
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    rows = staged(fingerprints(docs.select("_row", "doc_id", "text"), width))
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    return _best_of_classes(rows, best).select(F.col("best._row").alias("_row")).distinct()
 
 
-def similar_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the written distinct pairs (a, b) whose sets have a Jaccard similarity of 0.8
-    or more: 9 x common >= 4 x (both sizes)."""
-    held = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).groupBy("_row").agg(
-        F.count("*").alias("w"))
-    held = staged(held.join(sets.select("_row", "shingles"), "_row"))
-    left = held.select(F.col("_row").alias("a"), "w", F.col("shingles").alias("x"))
-    right = held.select(F.col("_row").alias("b"), "w", F.col("shingles").alias("y"))
-    met = lookup(lookup(pairs, left, ["a"], "w").drop("w"), right, ["b"], "w")
-    same = F.size(F.array_intersect("x", "y"))
-    return met.where(9 * same >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
-
-
-def similar_links(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links (a, b), a < b, whose components are those of all pairs of ``nodes`` (_row) whose
-    shingle sets have a Jaccard similarity of 0.8 or more. Nothing is capped or sampled.
-
-    Sets that similar share a shingle of their prefixes. Among the sets with a shingle, the one
-    that meets most others (an original among its edited copies) is compared with all. What
-    that leaves outside its component is then compared with every member of other components,
-    in tiles, so a group of many copies costs its size and not its square, and no pair that
-    could join two components is left out.
-    """
-    short = staged(prefixes(sets, common_shingles(sets)).join(nodes, "_row", "left_semi"))
-    postings = short.select("_row", "n", F.posexplode("prefix").alias("pos", "token"))
-    sizes = staged(postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1"))
-    members = staged(lookup(postings, sizes, ["token"], "m").where(F.col("m").isNotNull()))
-    degree = members.groupBy("_row").agg(F.count("*").alias("degree"))
-    hubs = staged(members.join(degree, "_row").groupBy("token").agg(
-        F.count("*").alias("m"),
-        F.max(F.struct("degree", -F.col("_row"), "_row", "n", "pos")).alias("hub")).select(
-        "token", "m", F.col("hub._row").alias("hub"), F.col("hub.n").alias("hub_n"),
-        F.col("hub.pos").alias("hub_pos")))
-    met = lookup(members.drop("m"), hubs, ["token"], "m")
-    first = staged(met.where(F.col("_row") != F.col("hub")).where(_may_link("", "hub_")).select(
-        *_ordered("_row", "hub")).distinct())
-    links = staged(similar_pairs(first, sets))
-
-    roots = staged(components(links))
-    part = F.coalesce("root", "_row")
-    tagged = staged(members.join(roots.withColumnRenamed("node", "_row"), "_row", "left").select(
-        "token", "_row", "n", "pos", part.alias("part")))
-    # The two of a pair have met by now.
-    mains = hubs.where("m > 2").join(roots.withColumnRenamed("node", "hub"), "hub", "left").select(
-        "token", "m", F.coalesce("root", "hub").alias("main"))
-    outside = staged(lookup(tagged, staged(mains), ["token"], "m").where("part <> main"))
-    open_ = staged(outside.groupBy("token").agg(
-        F.max("m").alias("m"), F.count("*").alias("k")).select(
-        "token", "m", F.ceil(F.col("k") / TILE).cast("int").alias("rows"),
-        F.ceil(F.col("m") / TILE).cast("int").alias("columns")))
-    row, column = F.pmod(F.hash("_row"), F.col("rows")), F.pmod(F.hash("_row"), F.col("columns"))
-    ours = lookup(outside.drop("m", "main"), open_, ["token"], "m").select(
-        "token", row.alias("r"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("c"),
-        F.col("_row").alias("x"), F.col("n").alias("x_n"), F.col("pos").alias("x_pos"),
-        F.col("part").alias("x_part"))
-    all_ = lookup(tagged, open_, ["token"], "m").where(F.col("m").isNotNull()).select(
-        "token", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("r"), column.alias("c"),
-        F.col("_row").alias("y"), F.col("n").alias("y_n"), F.col("pos").alias("y_pos"),
-        F.col("part").alias("y_part"))
-    second = ours.join(all_, ["token", "r", "c"]).where("x_part <> y_part").where(
-        _may_link("x_", "y_")).select(*_ordered("x", "y")).distinct()
-    second = staged(second.join(first, ["a", "b"], "left_anti"))
-    return links.union(similar_pairs(second, sets))
-
-
-def representatives(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
-    """``_row`` of one document of each group of near-duplicates, out of (_row, doc_id, text).
-
-    The smallest doc_id stays, a null one only where there is no other; ties go by row number.
-    Equal shingle sets are one node from the start, so copies never make pairs.
-    """
-    sets = staged(shingle_sets(docs, width))
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row"))
-    nodes = staged(sets.groupBy("key").agg(F.min("_row").alias("node"), best.alias("best")))
-    roots = components(similar_links(sets, nodes.select(F.col("node").alias("_row"))))
-    groups = nodes.select("node", "best").join(roots, "node", "left")
-    return groups.groupBy(F.coalesce("root", "node").alias("root")).agg(
-        F.min("best").alias("best")).select(F.col("best._row").alias("_row"))
+def hex_of(fp: Column) -> Column:
+    """16 lowercase hex digits."""
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))

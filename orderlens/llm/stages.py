@@ -49,7 +49,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    """One document of each class of ``simhash.classes`` stays, the one with the smallest id:
+    fingerprints of three-word shingles, linked at two or fewer differing bits."""
     rows = _own(docs)
     plain = rows.select("_row", F.col("_all.doc_id").alias("doc_id"),
                         F.col("_all.text").alias("text"))
