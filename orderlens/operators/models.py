@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -12,14 +13,15 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens import constants as C
 from orderlens.functions import scoring as S
 from orderlens.functions.vectors import top_entries
 from orderlens.operators import metrics as M
 from orderlens.operators.prepare import Preprocessor, stratified_folds, weight_column
-from orderlens.schemas import FeatureSpec
-from orderlens.session import bounded_rows
+from orderlens.schemas import ORDERS, FeatureSpec
+from orderlens.session import bounded_rows, staged
 
 # "No depth limit" is 30, the deepest tree Spark grows.
 DEEPEST = 30
@@ -62,49 +64,111 @@ def score_frame(model: Transformer, df: DataFrame, name: str = "score") -> DataF
 
 def grid_search(train: DataFrame, identifier: str, spec: FeatureSpec, grid: dict | None = None,
                 folds: int = 5, seed: int = C.SPLIT_SEED,
-                parallelism: int = 4) -> tuple[DataFrame, dict]:
+                parallelism: int = 8) -> tuple[DataFrame, dict]:
     """Forest settings x stratified folds, scored by exact AUC.
 
     Every fold fits its own preprocessing on its training part. The loop runs over fits,
-    not rows; ``parallelism`` of them run at a time. All AUCs are computed together from
-    one scored frame. Returns the fold table and the best setting.
+    not rows; ``parallelism`` of them run at a time, the largest first. All AUCs are computed
+    together from one scored frame. Returns the fold table and the best setting.
     """
     grid = grid or DEFAULT_GRID
     label = spec.label
     folded = stratified_folds(train, identifier, label, folds, seed).persist()
-    results = None
+    kept = [folded]
+    threaded = inheritable_thread_target(train.sparkSession)
+
+    def prepare(k):
+        part = folded.where(F.col("fold") != k)
+        prep = Preprocessor.fit(part, spec)
+        fit_on = prep.transform(part.withColumn("_weight", weight_column(part, label)))
+        fit_on = fit_on.select(label, "features", "_weight").persist()
+        kept.append(fit_on)
+        held = prep.transform(folded.where(F.col("fold") == k)).select(label, "features")
+        return fit_on, held
 
     def fit(job):
-        trees, depth, frame = job
-        return forest(label, num_trees=trees, max_depth=depth, seed=seed).fit(frame)
-
-    settings = list(product(grid["numTrees"], grid["maxDepth"]))
-    with ThreadPool(parallelism) as pool:
-        for k in range(folds):
-            part = folded.where(F.col("fold") != k)
-            prep = Preprocessor.fit(part, spec)
-            fit_on = prep.transform(part.withColumn("_weight", weight_column(part, label)))
-            fit_on = fit_on.select(label, "features", "_weight").persist()
-            held = prep.transform(folded.where(F.col("fold") == k)).select(label, "features")
-            models = pool.map(inheritable_thread_target(train.sparkSession)(fit),
-                              [(t, d, fit_on) for t, d in settings])
-            for (trees, depth), model in zip(settings, models):
-                one = score_frame(model, held).select(
-                    F.lit(trees).alias("num_trees"), F.lit(depth).alias("max_depth"),
-                    F.lit(k).alias("fold"), label, "score")
-                results = one if results is None else results.unionByName(one)
-            fit_on.unpersist()
-    aucs = M.roc_auc(results, ["num_trees", "max_depth", "fold"], label=label).select(
-        "num_trees", "max_depth", "fold", "auc")
-    rows = bounded_rows(aucs, 10_000, "grid results")
-    folded.unpersist()
+        trees, depth, k = job
+        return forest(label, num_trees=trees, max_depth=depth, seed=seed).fit(parts[k][0])
+
+    jobs = sorted(product(grid["numTrees"], grid["maxDepth"], range(folds)),
+                  key=lambda j: -j[0] * j[1])
+    try:
+        with ThreadPool(parallelism) as pool:
+            parts = pool.map(threaded(prepare), range(folds), 1)
+            models = pool.map(threaded(fit), jobs, 1)
+        results = reduce(DataFrame.unionByName, [
+            score_frame(model, parts[k][1]).select(
+                F.lit(trees).alias("num_trees"), F.lit(depth).alias("max_depth"),
+                F.lit(k).alias("fold"), label, "score")
+            for (trees, depth, k), model in zip(jobs, models)])
+        results = staged(results)
+    finally:
+        for frame in kept:
+            frame.unpersist()
+    by = ["num_trees", "max_depth", "fold"]
+    sizes = results.groupBy(*by).agg(F.count("*").alias("n"), F.sum(label).alias("n_positive"))
+    aucs = M.roc_auc(results, by, label=label).select(*by, "auc").join(sizes, by)
+    rows = bounded_rows(aucs.select(*by, "auc", "n", "n_positive"), 10_000, "grid results")
     table = train.sparkSession.createDataFrame(
-        [tuple(r) for r in rows], "num_trees int, max_depth int, fold int, auc double")
+        [tuple(r) for r in rows],
+        "num_trees int, max_depth int, fold int, auc double, n long, n_positive long")
     means = bounded_rows(M.fold_summary(table, ["num_trees", "max_depth"]), 1000, "grid")
     best = min(means, key=lambda r: (-r["mean_auc"], r["num_trees"], r["max_depth"]))
     return table, best.asDict()
 
 
+def fit_pipeline(train: DataFrame, spec: FeatureSpec, prep: Preprocessor, num_trees: int,
+                 max_depth: int, seed: int = C.SPLIT_SEED) -> PipelineModel:
+    """Fitted preprocessing and a forest fitted behind it, as one model of raw rows."""
+    fit_on = prep.transform(train.withColumn("_weight", weight_column(train, spec.label)))
+    fit_on = fit_on.select(spec.label, "features", "_weight").persist()
+    try:
+        model = forest(spec.label, num_trees=num_trees, max_depth=max_depth, seed=seed).fit(fit_on)
+    finally:
+        fit_on.unpersist()
+    return PipelineModel([*prep.stages(), model])
+
+
+def train_and_save(train: DataFrame, test: DataFrame, identifier: str, spec: FeatureSpec,
+                   path: str, grid: dict | None = None, folds: int = 5) -> dict:
+    """Grid search, refit of the best setting on all of ``train``, and the saved result.
+
+    The pipeline is saved first; threshold and test figures then come from the reloaded one,
+    so they belong to what later jobs load. Beside the model lie the fold table (``folds``),
+    the importances by column (``importances``), the scores of the test part
+    (``test_scores``) and the metadata.
+    """
+    spark = train.sparkSession
+    table, best = grid_search(train, identifier, spec, grid, folds)
+    table.coalesce(1).write.mode("overwrite").parquet(f"{path}/folds")
+    prep = Preprocessor.fit(train, spec)
+    fitted = fit_pipeline(train, spec, prep, best["num_trees"], best["max_depth"])
+    impurity_importances(fitted.stages[-1], prep.names()).coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}/importances")
+    fitted.write().overwrite().save(f"{path}/model")
+    columns = [identifier, spec.label, "score"]
+    score_frame(PipelineModel.load(f"{path}/model"), test).select(*columns).write.mode(
+        "overwrite").parquet(f"{path}/test_scores")
+    scored = spark.read.parquet(f"{path}/test_scores")
+    if not same_scores(score_frame(fitted, test).select(*columns), scored, [identifier]):
+        raise RuntimeError("the saved model does not score like the fitted one")
+    at = operating_threshold(scored, spec.label)
+    threshold = at["threshold"]
+    metadata = {
+        "model_type": type(fitted.stages[-1]).__name__,
+        "threshold": threshold, "threshold_metric": "f1", "threshold_split": "test",
+        "threshold_grid": [C.GRID_FIRST_PERCENT / 100, C.GRID_STEP_PERCENT / 100, C.GRID_POINTS],
+        "best_setting": {k: best[k] for k in ("num_trees", "max_depth")},
+        "folds": folds, "best_mean_auc": best["mean_auc"],
+        "test_auc": M.roc_auc(scored, label=spec.label).first()["auc"],
+        "f1": at["f1"], "precision": at["precision"], "recall": at["recall"],
+        "cut_points": [threshold, threshold + C.BUCKET_WIDTH],
+        "features": spec.features,
+    }
+    _write_metadata(spark, path, metadata)
+    return metadata
+
+
 def impurity_importances(model, names: list[str]) -> DataFrame:
     """(transformed_feature, importance) of a fitted tree model; one row per model column."""
     values = model.featureImportances.toArray().tolist()
@@ -116,14 +180,20 @@ def save_model(model: Transformer, path: str, metadata: dict) -> None:
     """Model and its metadata side by side."""
     wrapped = model if isinstance(model, PipelineModel) else PipelineModel([model])
     wrapped.write().overwrite().save(f"{path}/model")
-    spark = SparkSession.active()
+    _write_metadata(SparkSession.active(), path, metadata)
+
+
+def _write_metadata(spark: SparkSession, path: str, metadata: dict) -> None:
     spark.createDataFrame([(json.dumps(metadata),)], "value string").coalesce(1).write.mode(
         "overwrite").text(f"{path}/metadata")
 
 
+def read_metadata(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/metadata").first()["value"])
+
+
 def load_model(path: str) -> tuple[PipelineModel, dict]:
-    text = SparkSession.active().read.text(f"{path}/metadata").first()["value"]
-    return PipelineModel.load(f"{path}/model"), json.loads(text)
+    return PipelineModel.load(f"{path}/model"), read_metadata(SparkSession.active(), path)
 
 
 def same_scores(a: DataFrame, b: DataFrame, key: list[str], tolerance: float = 1e-9) -> bool:
@@ -138,6 +208,42 @@ def operating_threshold(scored: DataFrame, label: str = C.TARGET) -> dict:
     return M.best_threshold(swept).first().asDict()
 
 
+def score_rows(rows: DataFrame, model: PipelineModel, metadata: dict,
+               missing: Column | None = None, failed: Column | None = None) -> DataFrame:
+    """Rows scored by a saved pipeline: status, percent, bucket and the bucket's cut points.
+
+    ``missing`` lists the required features a row does not have, ``failed`` marks rows with a
+    value that cannot be read; neither is scored, and no row fails the batch. A NULL value is
+    left to the imputation inside the pipeline.
+    """
+    scored = score_frame(model, rows)
+    scored = scored.select(*rows.columns, "score")
+    if failed is not None:
+        scored = scored.withColumn("score", F.when(~failed, F.col("score")))
+    low, high = metadata["cut_points"]
+    return score_batch(scored, F.col("score"), metadata["threshold"], missing).withColumns({
+        "medium_from": F.lit(low), "high_from": F.lit(high)})
+
+
+def score_one(spark: SparkSession, features: dict, model: PipelineModel, metadata: dict) -> dict:
+    """One order given as a dictionary; the same call as for a batch.
+
+    Without a required key nothing is scored or imputed: the status is ``missing_input``.
+    """
+    missing = [f for f in metadata["features"] if f not in features]
+    if missing:
+        return {"status": "missing_input", "missing_features": missing,
+                "threshold": metadata["threshold"]}
+    kinds = T.StructType([f for f in ORDERS if f.name in metadata["features"]])
+    row = spark.createDataFrame([tuple(features[f.name] for f in kinds)], kinds)
+    got = score_rows(row, model, metadata).first()
+    return {"status": got["status"], "return_probability": round(got["score"], 4),
+            "return_probability_percent": got["return_probability_percent"],
+            "risk_bucket": got["risk_bucket"], "threshold": metadata["threshold"],
+            "medium_from": got["medium_from"], "high_from": got["high_from"],
+            "model_type": metadata["model_type"]}
+
+
 def score_batch(df: DataFrame, score: Column, threshold: float,
                 missing: Column | None = None) -> DataFrame:
     """Status, percent and bucket per row; a row never fails the batch.

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+from pyspark.ml import Transformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +89,19 @@ def weight_column(df: DataFrame, label: str) -> Column:
     return expr
 
 
+def _sql_double(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else f"CAST('{float(value)!r}' AS DOUBLE)"
+
+
+def _sql_text(value: str | None) -> str:
+    """A string literal; every character but plain ones is written as its number."""
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    plain = "".join(ch if ch.isalnum() and ch.isascii() or ch in " _-" else f"\\U{ord(ch):08X}"
+                    for ch in str(value))
+    return f"'{plain}'"
+
+
 @dataclass
 class Preprocessor:
     """Median/mode imputation, population standardisation and one-hot levels, once fitted."""
@@ -133,6 +149,29 @@ class Preprocessor:
     def names(self) -> list[str]:
         return list(self.columns())
 
+    def stages(self, vector: str = "features") -> list[Transformer]:
+        """The same columns as two transformers that can be saved in front of a model.
+
+        The statistics stand in the SQL text as exact literals, so a reloaded pipeline scores
+        raw rows without anything else. A value that stays NULL (no median or mode) counts as 0.
+        """
+        names, parts = [], []
+        for number, expression in enumerate(self._sql()):
+            names.append(f"_feature_{number}")
+            parts.append(f"coalesce({expression}, 0D) AS {names[-1]}")
+        return [
+            SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__"),
+            VectorAssembler(inputCols=names, outputCol=vector)]
+
+    def _sql(self) -> Iterator[str]:
+        for c in self.spec.numeric:
+            filled = f"coalesce(CAST(`{c}` AS DOUBLE), {_sql_double(self.medians[c])})"
+            yield f"({filled} - {_sql_double(self.means[c])}) / {_sql_double(self.stds[c])}"
+        for c in self.spec.categorical:
+            filled = f"coalesce(`{c}`, {_sql_text(self.modes[c])})"
+            for level in self.levels[c]:
+                yield f"CAST({filled} = {_sql_text(level)} AS DOUBLE)"
+
     def transform(self, df: DataFrame, vector: str = "features") -> DataFrame:
         from pyspark.ml.functions import array_to_vector
 

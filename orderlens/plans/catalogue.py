@@ -6,7 +6,7 @@ from importlib import import_module
 
 from orderlens.plans.registry import Registry
 
-FAMILIES = ["risk", "vectors", "retrieval", "dialogue", "jobs"]
+FAMILIES = ["risk", "vectors", "retrieval", "dialogue", "jobs", "models"]
 
 
 def all_queries() -> Registry:

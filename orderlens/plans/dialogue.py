@@ -270,7 +270,7 @@ def category_dictionary(spark, sf):
 _STRUCT = "{{'v': {x}}}"
 
 
-def _state_sql() -> str:
+def state_sql(turns: str) -> str:
     slots = slots_sql("text")
     now, feats = [], []
     for f in C.FEATURES:
@@ -283,7 +283,7 @@ def _state_sql() -> str:
     any_slot = " OR ".join(f"({slots[f]}) IS NOT NULL" for f in C.FEATURES)
     known = " + ".join(f"(CASE WHEN n_{f} IS NULL THEN 0 ELSE 1 END)" for f in C.FEATURES)
     missing = ", ".join(f"CASE WHEN n_{f} IS NULL THEN '{f}' END" for f in C.FEATURES)
-    return f"""{B.ORDERS}, {TURNS}, {intents_sql('turns')},
+    return f"""{B.ORDERS}, {turns}, {intents_sql('turns')},
 read AS (SELECT conv_id, turn, text, {BLOCKED} AS blocked, {order_id_sql('text')} AS mentioned,
            fine_intent, lane FROM turns JOIN classified USING (text)),
 met AS (SELECT r.conv_id, r.turn, r.text, blocked, mentioned, fine_intent, lane,
@@ -319,7 +319,7 @@ states AS (SELECT *, last_value(tp IGNORE NULLS) OVER (PARTITION BY conv_id ORDE
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS topic_before FROM topics)"""
 
 
-STATE_SQL = _state_sql()
+STATE_SQL = state_sql(TURNS)
 STATE_COLUMNS = f"""conv_id, turn, blocked, CASE WHEN override THEN 1 ELSE 0 END AS lane_override,
   final_lane, final_intent, order_id, order_lookup, CAST(n_features AS INTEGER) AS n_features,
   missing, CASE WHEN pending THEN 1 ELSE 0 END AS pending, last_topic,

@@ -50,6 +50,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
@@ -65,7 +70,7 @@ def staged(df: DataFrame) -> DataFrame:
     a lost executor costs a re-read, not a recomputation.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    path = new_folder(spark, "staged")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderlens import constants as C
 from orderlens import schemas as S
 from orderlens.operators.orders import labelled_orders, order_features
 from orderlens.session import staged
@@ -109,6 +110,39 @@ def batch_csv(spark: SparkSession, path: str, expected: T.StructType = S.ORDERS)
         F.array(*[F.lit(a) for a in absent]).cast("array<string>").alias("missing_columns"))
 
 
+def batch_json(spark: SparkSession, path: str, identifier: str = "order_id",
+               expected: T.StructType = S.ORDERS, required: list[str] | None = None) -> DataFrame:
+    """User rows as JSON lines {identifier, features: {name: value}}, each with keys of its own.
+
+    Returns the identifier, the required features with their types (``required``: the contract
+    features by default), ``missing_features`` (required keys the row does not have, in
+    contract order) and ``bad_features`` (values that cannot be read as their type). A key
+    whose value is null is neither.
+    """
+    require_path(spark, path)
+    kinds = {f.name: f.dataType for f in expected}
+    names = required or C.FEATURES
+    raw = spark.read.schema(T.StructType([
+        T.StructField(identifier, kinds[identifier]),
+        T.StructField("features", T.MapType(T.StringType(), T.StringType()))])).json(path)
+    cells = F.coalesce("features", F.create_map().cast("map<string,string>"))
+
+    given = {n: F.nullif(cells[n], F.lit("")) for n in names}
+    read = {n: given[n].try_cast(kinds[n]) for n in names}
+
+    def typed(name: str) -> Column:
+        # NaN stands for a missing number.
+        return F.nullif(read[name], F.lit(float("nan"))) \
+            if isinstance(kinds[name], T.DoubleType) else read[name]
+
+    bad = [F.when(given[n].isNotNull() & read[n].isNull(), F.lit(n)) for n in names]
+    wanted = F.array(*[F.lit(n) for n in names])
+    return raw.select(
+        identifier, *[typed(n).alias(n) for n in names],
+        F.array_except(wanted, F.map_keys(cells)).alias("missing_features"),
+        F.array_compact(F.array(*bad)).alias("bad_features"))
+
+
 def coerced(value: Column) -> Column:
     """Per-value typing of text: integer, else double, else text, as a struct."""
     as_int = value.try_cast("bigint")
