@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -307,16 +308,47 @@ def test_checkpoint_uses_the_shared_folder(spark):
     assert checkpointed(spark.range(3)).count() == 3
 
 
+def plain_category(text, names):
+    """The three tiers by plain containment."""
+    low = text.lower()
+    for c in ("Apparel", "Footwear", "Electronics", "Home", "Beauty"):
+        if c.lower() in low:
+            return c
+    first = {}
+    for n, c in names:
+        first[n] = min(first.get(n, c), c)
+    ordered = sorted(first.items(), key=lambda e: (-len(e[0]), e[0]))
+    words = {w for w in re.findall("[a-z]+", low) if len(w) >= 5}
+    for test in (lambda n: n in low or n.rstrip("s") and n.rstrip("s") in low,
+                 lambda n: any(w in n for w in words)):
+        for n, c in ordered:
+            if n and test(n.lower()):
+                return c
+    return None
+
+
 def test_category_dictionary(spark):
     from orderlens.operators.catalog import dictionary_matches
 
-    names = [("Smartphones", "Electronics"), ("Running shoes", "Footwear"), ("Mugs", "Home")]
-    want = {"two smartphones": "Electronics", "a mug please": "Home",
-            "my shoes": "Footwear", "any phone": "Electronics", "the care wear": None,
-            "beauty shoes": "Beauty"}
-    df = spark.createDataFrame([(t,) for t in want], "text string")
-    got = {r["text"]: r["catalog_category"] for r in dictionary_matches(df, names).collect()}
-    assert got == want
+    names = [("Smartphones", "Electronics"), ("Running shoes", "Footwear"), ("Mugs", "Home"),
+             ("tv", "E2"), ("x", "E3"), ("Mugs", "Kitchen"), ("sss", "Never"), ("", "Never"),
+             ("Very long name of a thing", "Long"), ("Very long name of a thinner", "Longer")]
+    texts = ["two smartphones", "a mug please", "my shoes", "any phone", "the care wear",
+             "beauty shoes", "", "tv", "a very long name of a thing!", "very long name of a thin",
+             "say XYLOPHONE", "two smartphones", "mugs tvs", "é ü running shoe"]
+    rnd = random.Random(1)
+    vocabulary = [f"{a}{b}{c}" for a in "abc" for b in "lmn" for c in ("ork", "ap", "ingle", "s")]
+    names += [(" ".join(rnd.choices(vocabulary, k=rnd.randint(1, 3))), f"c{i}") for i in range(60)]
+    texts += [" ".join(rnd.choices(vocabulary, k=rnd.randint(1, 8))) for _ in range(200)]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string")
+    table = spark.createDataFrame([*names, (None, "Never")], "name string, category string")
+    got = dictionary_matches(df, table).collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        want = None if r["text"] is None else plain_category(r["text"], names)
+        assert r["catalog_category"] == want, r["text"]
+    none = dictionary_matches(df, table.where("false")).where("text = 'two smartphones'").collect()
+    assert [r["catalog_category"] for r in none] == [None, None]
 
 
 def test_catalog_criteria(spark):
