@@ -28,18 +28,18 @@ n1 AS (SELECT r, host, string_split(regexp_replace(regexp_replace(lower(t), '[0-
 n2 AS (SELECT r, host, list_filter(list_transform(a, lambda x: trim(x, ' ')), lambda x: x <> '') AS a FROM n1),
 ln AS (SELECT r, host, unnest(a) AS h, unnest(range(1, len(a) + 1)) AS i, len(a) AS k, a FROM n2),
 hosts AS (SELECT host, count(*) AS n FROM m GROUP BY host),
-sus AS (SELECT host, h, docs FROM (SELECT host, h, count(DISTINCT r) AS docs FROM ln GROUP BY 1, 2)
-  JOIN hosts USING (host) WHERE docs > {quality.MIN_DOCS} AND docs > {quality.SHARE} * n),
-nb AS (SELECT DISTINCT r, host, h, docs, side, near FROM (
-  SELECT r, host, h, docs, 0 AS side, CASE WHEN i > 1 THEN a[i - 1] END AS near
-    FROM ln JOIN sus USING (host, h)
-  UNION ALL SELECT r, host, h, docs, 1, CASE WHEN i < k THEN a[i + 1] END
-    FROM ln JOIN sus USING (host, h))),
-pn AS (SELECT host, h, docs, side, near, count(*) AS c FROM nb GROUP BY ALL),
-ps AS (SELECT host, h, docs, side, max(c) FILTER (near IS NOT NULL) AS usual,
-  sum(c) FILTER (near IS NOT NULL) AS ins FROM pn GROUP BY ALL),
-fr AS (SELECT DISTINCT host, h FROM ps
-  WHERE 2 * ins > docs AND usual < {quality.SAME_NEIGHBOUR} * docs),
+own AS (SELECT min(r) AS r FROM n2 GROUP BY host, a),
+dl AS (SELECT DISTINCT r, host, h FROM ln SEMI JOIN own USING (r)),
+cn AS (SELECT host, h, count(*) AS docs FROM dl GROUP BY 1, 2),
+sus AS (SELECT host, h, greatest({quality.MIN_DOCS}, least({quality.SHARE} * n, {quality.MOST_SHARE}))
+  AS most FROM cn JOIN hosts USING (host)
+  WHERE docs > {quality.MIN_DOCS} AND docs > least({quality.SHARE} * n, {quality.MOST_SHARE})),
+kn AS (SELECT r, host, h, row_number() OVER (PARTITION BY r ORDER BY docs,
+    ('0x' || substr(md5(h), 1, 15))::BIGINT) - 1 AS place, count(*) OVER (PARTITION BY r) AS k
+  FROM dl JOIN cn USING (host, h)),
+kb AS (SELECT r, h AS known FROM kn WHERE place = floor(k * {quality.KNOWN_BY})::BIGINT),
+fr AS (SELECT host, h FROM dl JOIN sus USING (host, h) JOIN kb USING (r)
+  GROUP BY host, h, most HAVING count(DISTINCT known) > most),
 rm AS (SELECT r, count(*) AS nl, sum(length(h) - length(replace(h, ' ', '')) + 1)::BIGINT AS nw
   FROM ln JOIN fr USING (host, h) GROUP BY r),
 v AS (SELECT m.*, coalesce(nl, 0) AS n_removed_lines, coalesce(nw, 0) AS n_removed_words,

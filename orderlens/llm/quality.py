@@ -1,8 +1,11 @@
 """Quality rules with cross-document line frequency, in DataFrame functions only.
 
-A line counts as boilerplate of a host if more distinct documents of the host hold it than
-the limit allows. Documents with the same lines in the same order count once, which keeps
-copies apart from boilerplate: a text that was copied a thousand times is one document.
+A line counts as boilerplate of a host if more independent documents of the host hold it than
+the limit allows. Documents with the same lines in the same order count once. So do near
+copies: a document is known by one of its lines, the one at a fifth of them in ascending order
+of how many documents hold it, and documents known by the same line count once. Copies that
+share four fifths of their lines are known by a few lines they share, however many they are;
+unrelated documents under one header and footer are each known by a line of their own.
 Documents that lose too large a part of their words are depleted.
 """
 
@@ -20,7 +23,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_DOCS = 10        # a line in no more documents of a host is never boilerplate ...
 SHARE = 0.005        # ... nor one in no more than this share of them,
 MOST_SHARE = 100     # which asks for no more than so many, however large the host
-SAME_NEIGHBOUR = 0.5  # of the SQL only
+KNOWN_BY = 0.2       # place of the line a document is known by, from the rarest on
 MOST_REMOVED = 0.5   # a document that loses more of its words is depleted
 
 
@@ -74,12 +77,17 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")
 
 
+def line_hash(line: Column) -> Column:
+    """60 bits of the line's MD5, which SQL engines agree on."""
+    return F.conv(F.substring(F.md5(line), 1, 15), 16, 10).cast("long")
+
+
 def with_lines(docs: DataFrame, text: str) -> DataFrame:
     """Adds ``_lines``: hash and word count of each normalised line that has a word."""
     lines = F.filter(F.transform(F.split(normalised(F.col(text)), "\n"), lambda x: F.trim(x)),
                      lambda x: x != "")
     return docs.withColumn("_lines", F.transform(lines, lambda x: F.struct(
-        F.xxhash64(x).alias("h"),
+        line_hash(x).alias("h"),
         (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).alias("n"))))
 
 
@@ -87,8 +95,9 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
     """Boilerplate (_host, h) of a written table (_row, _host, _lines), with the number of
     lines it stands for as ``n``.
 
-    Of documents with equal lines only the first is counted. All counts combine before the
-    shuffle; a line that every document of a hot host holds costs one row per task.
+    Lines are counted over the first documents of equal lines, then, where that passes the
+    limit, over the lines their documents are known by. All counts combine before the shuffle;
+    a line that every document of a hot host holds costs one row per task and known line.
     """
     hosts = staged(rows.groupBy("_host").agg(F.count("*").alias("_all")))
     hashes = F.transform("_lines", lambda x: x["h"])
@@ -97,13 +106,30 @@ def frequent_lines(rows: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
         F.min("_row").alias("_first"), F.count("*").alias("_copies")).where("_copies > 1"))
     distinct = lookup(texts, copied, ["_host", "_text"], "_copies").where(
         F.col("_first").isNull() | (F.col("_first") == F.col("_row")))
-    copies = F.coalesce("_copies", F.lit(1))
-    counts = distinct.select("_host", copies.alias("_n"), F.explode(
-        F.array_distinct("_h")).alias("h")).groupBy("_host", "h").agg(
-        F.count("*").alias("docs"), F.sum("_n").alias("n")).where(F.col("docs") > min_docs)
+    lines = distinct.select(
+        "_row", "_host", F.coalesce("_copies", F.lit(1)).alias("_n"),
+        F.explode(F.array_distinct("_h")).alias("h"))
+    counts = staged(lines.groupBy("_host", "h").agg(
+        F.count("*").alias("docs"), F.sum("_n").alias("n")).where("docs > 1"))
     limit = F.least(share * F.col("_all"), F.lit(float(MOST_SHARE)))
-    return lookup(counts, hosts, ["_host"], "_all").where(
-        F.col("docs") > limit).select("_host", "h", "n")
+    many = staged(lookup(counts.where(F.col("docs") > min_docs), hosts, ["_host"], "_all").where(
+        F.col("docs") > limit).withColumn("_limit", F.greatest(F.lit(float(min_docs)), limit))
+        .drop("_all"))
+
+    # The documents of those lines, with the counts of all their lines.
+    holders = lookup(lines.select("_row", "_host", "h"), many.select("_host", "h", "docs"),
+                     ["_host", "h"], "docs").where("docs is not null").select("_row").distinct()
+    held = lookup(lines.join(holders, "_row", "left_semi").select("_row", "_host", "h"),
+                  counts.drop("n"), ["_host", "h"], "docs")
+    ordered = held.groupBy("_row", "_host").agg(F.sort_array(F.collect_list(F.struct(
+        F.coalesce("docs", F.lit(1)).alias("docs"), "h"))).alias("_l"))
+    place = F.floor(F.size("_l") * F.lit(KNOWN_BY)).cast("int")
+    known = ordered.select("_host", F.get("_l", place)["h"].alias("_by"),
+                           F.explode(F.filter("_l", lambda x: x["docs"] > min_docs)).alias("_x"))
+    groups = known.groupBy("_host", F.col("_x.h").alias("h"), "_by").agg(F.lit(1).alias("_one")) \
+        .groupBy("_host", "h").agg(F.count("*").alias("groups"))
+    return many.join(groups, ["_host", "h"]).where(F.col("groups") > F.col("_limit")).select(
+        "_host", "h", "n")
 
 
 def removed_words(rows: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -144,5 +170,5 @@ def judged(docs: DataFrame, host: str = "source", keep: list[str] | None = None)
 def without_lines(text: Column, gone: Column) -> Column:
     """The text without the lines whose normalised hash is in ``gone``."""
     lines = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(
-        gone, F.xxhash64(F.trim(normalised(x)))))
+        gone, line_hash(F.trim(normalised(x)))))
     return F.when(F.size(gone) > 0, F.array_join(lines, "\n")).otherwise(text)

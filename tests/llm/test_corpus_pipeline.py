@@ -97,3 +97,12 @@ def test_odd_documents(spark):
     twice = stages.near_duplicates(spark, docs, "").collect()
     assert len([r for r in twice if r["doc_id"] == 6]) == 2  # two texts under one id
     assert stages.packing(spark, no_docs(spark), "").collect() == []
+
+
+def test_near_copies_leave_one_of_their_group(spark):
+    from test_spans import host_with_near_copies
+
+    rows = [(d, t, "en", h, len(t)) for d, t, h in host_with_near_copies(25, 1, 200)]
+    kept = stages.quality_rules(spark, spark.createDataFrame(rows, COLUMNS), "")
+    left = {r["doc_id"] for r in stages.near_duplicates(spark, kept, "").collect()}
+    assert 10_000 in left and set(range(200)) <= left

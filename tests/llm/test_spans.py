@@ -96,6 +96,50 @@ def test_header_and_footer_of_several_lines_go(spark):
     assert all(out[200 + i]["n_removed_lines"] == 0 and out[200 + i]["kept"] for i in range(40))
 
 
+def host_with_near_copies(copies, edits, others=600, seed=4):
+    """Unrelated texts under one footer, and copies of one text, each with its own edits."""
+    import random
+
+    rnd = random.Random(seed)
+
+    def sentence(n):
+        return " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n))
+
+    foot = ["all rights", "our terms", "last line"]
+    rows = [(i, "\n".join([*(sentence(15) for _ in range(8)), *foot]), "h")
+            for i in range(others)]
+    story = [sentence(12) for _ in range(20)]
+    for i in range(copies):
+        text = list(story)
+        for place in rnd.sample(range(20), edits if i else 0):
+            text[place] = sentence(12)
+        rows.append((10_000 + i, "\n".join(text), "h"))
+    return rows
+
+
+@pytest.mark.parametrize("copies,edits", [(25, 1), (300, 1), (300, 3)])
+def test_near_copies_do_not_remove_each_other(spark, copies, edits):
+    rows = host_with_near_copies(copies, edits)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = quality.judged(docs).collect()
+    assert all(r["n_removed_lines"] == (3 if r["doc_id"] < 10_000 else 0) for r in out)
+    assert all(r["kept"] for r in out)
+
+
+def test_quality_sql_on_near_copies_and_footers(spark, con):
+    from oracle import rows_of
+
+    rows = [(d, t, None, h) for d, t, h in host_with_near_copies(40, 2, 60)]
+    rows += [(20_000 + i, f"only this {i}\n" + "\n".join(f"fixed {j} block " * 9 for j in "abc"),
+              None, "other") for i in range(30)]
+    view(con, rows)
+    cur = con.execute(queries["op3_quality"].sql.replace("FROM documents", "FROM odd_documents"))
+    names = [d[0] for d in cur.description]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, x string, source string")
+    got = rows_of(names, quality.judged(docs).select(*names).collect())
+    assert got == rows_of(names, cur.fetchall())
+
+
 def test_limit_does_not_grow_with_a_large_host(spark):
     from pyspark.sql import functions as F
 
@@ -107,7 +151,7 @@ def test_limit_does_not_grow_with_a_large_host(spark):
                                                       "abcdefghij")),
                  F.coalesce(notice, F.lit("")), F.coalesce(rare, F.lit(""))).alias("t"))
     found = quality.frequent_lines(quality.with_lines(docs, "t")).collect()
-    line = spark.range(1).select(F.xxhash64(F.lit("a notice of the house"))).first()[0]
+    line = spark.range(1).select(quality.line_hash(F.lit("a notice of the house"))).first()[0]
     assert [(r["h"], r["n"]) for r in found] == [(line, 150)]
 
 
@@ -115,7 +159,7 @@ def test_removed_lines_leave_the_text(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame([("A  b\nkeep\na B ", "a b")], "text string, line string")
-    got = df.select(quality.without_lines(F.col("text"), F.array(F.xxhash64("line")))).first()[0]
+    got = df.select(quality.without_lines(F.col("text"), F.array(quality.line_hash(F.col("line"))))).first()[0]
     assert got == "keep"
 
 
