@@ -7,6 +7,8 @@ so no task ever sees a whole key, even when one key holds a third of all rows.
 
 from __future__ import annotations
 
+import math
+
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +29,16 @@ def hash_key(identifier: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(identifier).cast("string"), F.lit(f":{seed}")))
 
 
+# Rows of a hash bucket that one task ranks, about; a bucket that holds more is cut further.
+RANKED = 1_000_000
+
+
+def bucket_digits(rows: int) -> int:
+    """Hex digits that give buckets of at most RANKED rows on average; from 3 to 5, as the
+    table of buckets is ordered as a whole."""
+    return min(5, max(3, math.ceil(math.log(max(rows, 1) / RANKED, 16))))
+
+
 def hash_rank(df: DataFrame, identifier: str, seed: int, by: list[str] | None = None,
               name: str = "rank", digits: int = 3) -> DataFrame:
     """1-based rank of every row in hashed order, optionally within groups.
@@ -54,30 +66,40 @@ def hash_cuts(df: DataFrame, identifier: str, label: str, seed: int, quotas: dic
               digits: int = 3) -> dict:
     """For each class, the hash below or at which exactly ``quota`` rows lie.
 
-    ``quotas`` maps class -> list of row counts. One counting pass finds the hash bucket
-    that holds each cut; only those buckets are ranked. The caller then splits with a plain
-    comparison, so the split itself moves no data.
+    ``quotas`` maps class -> list of row counts. A counting pass finds the hash bucket that
+    holds each cut, and further passes cut buckets of more than RANKED rows finer; only the
+    last ones are ranked. The caller then splits with a plain comparison, so the split itself
+    moves no data.
     """
-    keyed = df.select(label, hash_key(identifier, seed).alias("_h")).withColumn(
-        "_b", F.substring("_h", 1, digits))
-    sizes = keyed.groupBy(label, "_b").count()
-    rows = bounded_rows(sizes, len(quotas) * 16 ** digits, "hash buckets per class")
-    wanted: list[tuple] = []
-    for cls, counts in quotas.items():
-        mine = sorted((r["_b"], r["count"]) for r in rows if r[label] == cls)
-        for count in sorted(set(counts)):
-            seen = 0
-            for bucket, n in mine:
-                if seen < count <= seen + n:
-                    wanted.append((cls, bucket, count - seen, count))
+    keyed = df.select(label, hash_key(identifier, seed).alias("_h"))
+    spark, kind = df.sparkSession, keyed.schema[label].dataType.simpleString()
+    # (class, bucket so far, rows wanted inside it, rows wanted in all)
+    wanted = [(cls, "", count, count) for cls, counts in quotas.items()
+              for count in sorted(set(counts)) if count > 0]
+    length, largest = 0, None
+    while wanted and (largest is None or largest > RANKED) and length < 30:
+        length += digits
+        known = spark.createDataFrame(sorted({w[:2] for w in wanted}, key=str),
+                                      f"_c {kind}, _in string")
+        inside = F.col(label).eqNullSafe(F.col("_c")) & F.col("_h").startswith(F.col("_in"))
+        sizes = keyed.join(F.broadcast(known), inside, "left_semi").groupBy(
+            label, F.substring("_h", 1, length).alias("_b")).count()
+        rows = bounded_rows(sizes, len(wanted) * 16 ** digits, "hash buckets per class")
+        finer, largest = [], 0
+        for cls, bucket, left, count in wanted:
+            for name, n in sorted((r["_b"], r["count"]) for r in rows
+                                  if r[label] == cls and r["_b"].startswith(bucket)):
+                if left <= n:
+                    finer.append((cls, name, left, count))
+                    largest = max(largest, n)
                     break
-                seen += n
+                left -= n
+        wanted = finer
+    keyed = keyed.withColumn("_b", F.substring("_h", 1, length))
     cuts = {cls: {0: ""} for cls in quotas}
     if not wanted:
         return cuts
-    spark = df.sparkSession
-    schema = f"_c {keyed.schema[label].dataType.simpleString()}, _in string, _k bigint, _q bigint"
-    targets = spark.createDataFrame(wanted, schema)
+    targets = spark.createDataFrame(wanted, f"_c {kind}, _in string, _k bigint, _q bigint")
     # NULL is a class like any other.
     same = F.col(label).eqNullSafe(F.col("_c")) & (F.col("_b") == F.col("_in"))
     ranked = keyed.join(F.broadcast(targets.select("_c", "_in").distinct()), same, "left_semi") \
@@ -153,12 +175,39 @@ def carry_forward(df: DataFrame, key: list[str], order: list[str], bucket: Colum
         for name in frames for v in values])
 
 
+def time_bucket(df: DataFrame, key: list[str], at: str, most: int = 100_000) -> Column:
+    """The widest of day, hour, minute, second and microsecond in which no key has more than
+    ``most`` rows, as a bucket that does not decrease along the time."""
+    for unit in ("day", "hour", "minute", "second"):
+        bucket = F.date_trunc(unit, at)
+        sizes = df.groupBy(*key, bucket.alias("_b")).agg(F.count("*").alias("_n"))
+        if sizes.where(F.col("_n") > most).isEmpty():
+            return bucket
+    return F.col(at).cast("timestamp")
+
+
 def turn_number(df: DataFrame, key: list[str], order: list[str], bucket: Column,
                 name: str = "turn") -> DataFrame:
     """0-based position of a row within its key."""
     return running_totals(df, key, order, bucket, {name: F.lit(1)})
 
 
+def segmented_lists(df: DataFrame, key: list[str], position: Column, fields: list[str],
+                    size: int, name: str = "items") -> DataFrame:
+    """The rows of every key as lists of at most ``size``, in the order of their 0-based
+    position: (key, segment, previous, n, items).
+
+    ``previous`` points to the segment before, NULL for the first, so a reader follows as much
+    of a long list as it needs and no task ever holds a whole one.
+    """
+    rows = df.select(*key, position.alias("_p"), F.struct(
+        position.alias("position"), *fields).alias("_row"))
+    return rows.groupBy(*key, F.floor(F.col("_p") / size).cast("bigint").alias("segment")).agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_list("_row")).alias(name)).select(
+        *key, "segment", F.when(F.col("segment") > 0, F.col("segment") - 1).alias("previous"),
+        "n", name)
+
+
 def hot_keys(facts: DataFrame, key: str) -> DataFrame:
     """Keys that hold more than 1/HOT_KEYS of the rows, so fewer than HOT_KEYS of them."""
     counts = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))

@@ -10,15 +10,6 @@ from orderlens.functions.scoring import guarded_ratio
 from orderlens.session import bounded_rows
 
 
-def rate_table(df: DataFrame, by: str, label: str = C.TARGET) -> DataFrame:
-    """Orders, returns and return rate per level, highest rate first."""
-    return df.groupBy(by).agg(
-        F.count("*").alias("orders"),
-        F.sum(F.col(label)).cast("bigint").alias("returns"),
-        F.round(F.avg(label), 6).alias("return_rate"),
-    ).orderBy(F.desc("return_rate"), by)
-
-
 def rate_tables(df: DataFrame, by: list[str], label: str = C.TARGET) -> DataFrame:
     """Rate tables of several columns from one scan: count the cube once, then fold it."""
     cube = df.groupBy(*by).agg(
@@ -99,20 +90,10 @@ def quality_checks(df: DataFrame, checks: dict[str, tuple[Column, Column, Column
     return one.select(F.inline(rows))
 
 
-def not_in_reference(df: DataFrame, column: str, levels: DataFrame, level: str) -> DataFrame:
-    """Values that a level list does not know; empty when the subset check holds."""
-    return df.select(F.col(column).alias("value")).distinct().join(
-        levels.select(F.col(level).alias("value")), "value", "left_anti")
-
-
 def distinct_levels(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def class_counts(df: DataFrame, split: str, label: str) -> DataFrame:
-    return df.groupBy(split, label).agg(F.count("*").alias("n"))
-
-
 def binned_scores(df: DataFrame, bucket: str, score: str, bins: int = 20) -> DataFrame:
     """Score histogram per risk bucket; the top edge belongs to the last bin."""
     index = F.least(F.floor(F.col(score) * bins), F.lit(bins - 1)).cast("int")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderlens import constants as C
 from orderlens.functions import text as T
 from orderlens.functions.scoring import guarded_ratio
-from orderlens.operators.ordering import HOT_KEYS, skewed_lookup
+from orderlens.operators.ordering import HOT_KEYS, segmented_lists, skewed_lookup
 from orderlens.operators.topk import sparse_top_k
 from orderlens.session import staged
 
@@ -33,9 +33,12 @@ def chunk_id() -> Column:
     return F.format_string("%s::s%02d", F.col("doc_id").cast("string"), F.col("pos"))
 
 
-def nested_chunks(chunk_table: DataFrame) -> DataFrame:
-    """Documents with their chunk count. Chunk texts stay in the chunk table."""
-    return chunk_table.groupBy("doc_id").agg(F.count("*").alias("n_chunks"))
+def nested_chunks(chunk_table: DataFrame, size: int = 1000) -> DataFrame:
+    """Documents with their chunks nested, at most ``size`` in a row: doc_id, segment, the
+    segment before, the number of chunks and the chunks as (position, chunk_id, chunk_text)."""
+    named = chunk_table.withColumn("chunk_id", chunk_id())
+    return segmented_lists(named, ["doc_id"], F.col("pos"), ["chunk_id", "chunk_text"], size,
+                           "chunks")
 
 
 # The row marker counts rows in the same pass as the terms; tokens are never empty.

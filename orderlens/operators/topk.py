@@ -5,15 +5,15 @@ query block and keeps only the best k rows per query, so a partition emits at mo
 queries x k rows; a window then merges the partitions. Nothing is shuffled but those rows,
 and no frequent term or hot label can concentrate work on one task.
 
-A query set within ``MAX_CELLS`` is broadcast. A larger one is cut into blocks of that size
-and the corpus is cut into blocks too; every (query block, corpus block) pair is one group
-of the same kernel, so the result stays exact.
+A query set within ``MAX_CELLS`` is broadcast. A larger one is cut into blocks of that size,
+and each of them meets the corpus in the same way, so the result stays exact.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -23,9 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from orderlens.session import staged
+
 MAX_CELLS = 16_000_000
 BLOCK_QUERIES = 2_000
-BLOCK_ROWS = 200_000
 SLICE_CELLS = 4_000_000
 RANK_DIGITS = 9
 
@@ -168,30 +169,16 @@ def _stream(corpus: DataFrame, block, k: int) -> DataFrame:
 
 
 def _blocked(corpus: DataFrame, queries: DataFrame, q_blocks: int, k: int, build) -> DataFrame:
-    """Pairs of bounded blocks, one group each; blocks are hash slices, so they are even."""
-    c_blocks = max(1, -(-corpus.count() // BLOCK_ROWS))
-    q = queries.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks))).withColumn(
-        "_c", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
-    c = corpus.withColumn("_c", F.pmod(F.xxhash64("doc_id", "pos"), F.lit(c_blocks)).cast("int")
-                          ).withColumn("_q", F.explode(F.sequence(
-                              F.lit(0).cast("bigint"), F.lit(q_blocks - 1).cast("bigint"))))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.Table.from_batches([], _arrow_schema())
-        block = build(left)
-        best = BestK(len(block.ids), k)
-        for batch in right.combine_chunks().to_batches(max_chunksize=10_000):
-            _feed(block, best, batch)
-        return pa.Table.from_batches([_frame(block, best)])
-
-    pairs = q.groupBy("_q", "_c").cogroup(c.groupBy("_q", "_c")).applyInArrow(run, HIT_SCHEMA)
-    return _merge(pairs, k)
-
-
-def _arrow_schema() -> pa.Schema:
-    return pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("pos", pa.int32()),
-                      ("score", pa.float64())])
+    """One block of queries after another past the corpus, which is written once and then only
+    read: no row of it is copied or shuffled. Blocks are hash slices, so they are even."""
+    number = F.pmod(F.xxhash64("query_id"), F.lit(q_blocks))
+    corpus, queries = staged(corpus), staged(queries.withColumn("_q", number))
+    hits = []
+    for block in range(q_blocks):
+        part = queries.where(F.col("_q") == block).drop("_q").toArrow()
+        if part.num_rows:
+            hits.append(staged(_stream(corpus, build(part), k)))
+    return reduce(DataFrame.unionByName, hits)
 
 
 def _dense_block(table: pa.Table) -> DenseBlock:

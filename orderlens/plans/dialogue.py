@@ -304,6 +304,48 @@ def conversation_intents(spark, sf):
         F.count("*").alias("n"), F.round(F.avg("similarity"), 4).alias("mean_similarity"))
 
 
+_TALKED = f"(SELECT conv_id, turn, {ATTACK} AS text FROM conversations)"
+_TALK_HITS = _HITS.replace("(body,", "(text,")
+
+
+def _fixed_sql() -> str:
+    def told(text: str) -> str:
+        return q(text.replace("{shop}", A.SHOP))
+
+    names = "array_to_string(list_transform(hits, lambda m: m.name), ', ')"
+    quoted = "array_to_string(list_transform(hits, lambda m: '\"' || m.matched || '\"'), '; ')"
+    return f"""WITH said_ AS {_TALKED}, {intents_sql('said_')},
+  hit AS (SELECT conv_id, turn, text, similarity, fine_intent, lane,
+      list_filter([{_TALK_HITS}], lambda m: m.matched <> '') AS hits
+    FROM said_ JOIN classified USING (text)),
+  told AS (SELECT *, len(hits) > 0 AS b, CASE WHEN len(hits) > 0
+      THEN printf({told(C.BLOCKED_TEXT)}, {names}, {quoted})
+    WHEN fine_intent = 'greeting' THEN {told(C.GREETING_TEXT)}
+    WHEN fine_intent = 'general_help' THEN printf({told(C.HELP_TEXT)},
+      (SELECT count(*) FROM documents), (SELECT count(*) FROM part))
+    ELSE {told(C.UNSUPPORTED_TEXT)} END AS raw FROM hit)
+  SELECT conv_id, turn, {strip_sql(r"regexp_replace(raw, '\s+', ' ', 'g')")} AS answer,
+    CASE WHEN NOT b THEN 'conversational' ELSE CASE lane {' '.join(
+        f"WHEN '{k}' THEN '{v}'" for k, v in C.SOURCE_FOR_LANE.items())} END END AS source,
+    CASE WHEN b THEN 1.0 ELSE round(similarity, 4) END AS confidence
+  FROM told WHERE b OR lane = 'conversational'"""
+
+
+@queries.query(_fixed_sql())
+def fixed_answers(spark, sf):
+    """Answers that need no retrieval: blocked messages and ordinary talk."""
+    said = table(spark, sf, "conversations").select("conv_id", "turn", F.concat(
+        phrase(ATTACKS, F.col("conv_id") * 8 + F.col("turn")), "text").alias("text"))
+    turns = G.guard(G.classify(said))
+    talk = turns.where((F.col("blocked") == 1) | (F.col("lane") == "conversational"))
+
+    def rows(name):
+        return table(spark, sf, name).agg(F.count("*")).scalar()
+
+    return A.compose_fixed_lanes(talk, rows("documents"), rows("part")).select(
+        "conv_id", "turn", "response.answer", "response.source", "response.confidence")
+
+
 # Catalog words in full, without their "s", cut to five letters or more, or not at all.
 @queries.query(f"""WITH {CATALOG},
   names AS (SELECT subcategory AS name, min_by(category, product_id) AS category FROM catalog
@@ -486,9 +528,9 @@ def carry_forward(spark, sf):
         "event_id", "ts", "user_id",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("purchase"),
         F.when(F.col("event_type") == "error", F.col("event_id")).alias("error"))
-    day = F.to_date("ts")
-    carried = O.carry_forward(e, ["user_id"], ["ts", "event_id"], day, ["purchase", "error"])
-    return O.turn_number(carried, ["user_id"], ["ts", "event_id"], day).select(
+    bucket = O.time_bucket(e, ["user_id"], "ts")
+    carried = O.carry_forward(e, ["user_id"], ["ts", "event_id"], bucket, ["purchase", "error"])
+    return O.turn_number(carried, ["user_id"], ["ts", "event_id"], bucket).select(
         "event_id", "user_id", F.col("purchase_now").alias("last_purchase"),
         F.col("error_now").alias("last_error"), "turn")
 
@@ -502,6 +544,26 @@ def history_length(spark, sf):
     return ST.history_lengths(turns.select("conv_id", "turn"))
 
 
+_MESSAGES = 3  # in a segment
+
+
+@queries.query(f"""WITH placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1
+    AS place FROM conversations)
+  SELECT conv_id, CAST(place // {_MESSAGES} AS BIGINT) AS segment,
+    CASE WHEN place // {_MESSAGES} > 0 THEN CAST(place // {_MESSAGES} - 1 AS BIGINT) END AS previous,
+    count(*) AS n, CAST(min(turn) AS BIGINT) AS first_turn,
+    md5(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS digest
+  FROM placed GROUP BY conv_id, place // {_MESSAGES}""")
+def conversation_history(spark, sf):
+    """Every conversation's messages in linked segments, each with a digest of its text."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
+    return ST.histories(turns, _MESSAGES).select(
+        "conv_id", "segment", "previous", "n",
+        F.get("messages", F.lit(0))["turn"].alias("first_turn"),
+        F.md5(F.array_join(lines, "\n")).alias("digest"))
+
+
 # -------------------------------------------------------------- pages and logs
 _CATEGORY = "CASE " + " ".join(
     "WHEN " + " OR ".join(f"contains(hay, {q(k)})" for k in words) + f" THEN {q(label)}"

@@ -99,9 +99,20 @@ def chunks(spark, sf):
     return _chunks(spark, sf)
 
 
-@queries.query(f"WITH {CHUNKS} SELECT doc_id, count(*) AS n_chunks FROM chunks GROUP BY doc_id")
+_NESTED = 40  # chunks in a segment
+
+
+@queries.query(rf"""WITH {CHUNKS}
+  SELECT doc_id, CAST(pos // {_NESTED} AS BIGINT) AS segment,
+    CASE WHEN pos // {_NESTED} > 0 THEN CAST(pos // {_NESTED} - 1 AS BIGINT) END AS previous,
+    count(*) AS n, md5(string_agg(CAST(doc_id AS VARCHAR) || '::s' || CASE WHEN pos < 10 THEN '0'
+      ELSE '' END || CAST(pos AS VARCHAR) || ' ' || chunk_text, chr(10) ORDER BY pos)) AS digest
+  FROM chunks GROUP BY doc_id, pos // {_NESTED}""")
 def document_chunks(spark, sf):
-    return R.nested_chunks(_chunks(spark, sf))
+    """Documents with their chunks nested in linked segments."""
+    lines = F.transform("chunks", lambda c: F.concat(c["chunk_id"], F.lit(" "), c["chunk_text"]))
+    return R.nested_chunks(_chunks(spark, sf), _NESTED).select(
+        "doc_id", "segment", "previous", "n", F.md5(F.array_join(lines, "\n")).alias("digest"))
 
 
 @queries.query(f"WITH {POOL} SELECT * FROM pool")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from orderlens import constants as C
 from orderlens.functions import vectors as V
+from orderlens.operators import answers as A
 from orderlens.operators import confusion as K
 from orderlens.operators import models as ML
 from orderlens.operators import prepare as P
@@ -79,6 +80,11 @@ pairs AS (SELECT label AS actual, predicted, count(*) AS n FROM nearest GROUP BY
 
 
 def _nearest(spark, sf):
+    return _labelled(spark, sf)[0]
+
+
+def _labelled(spark, sf):
+    """Rows with their three nearest exemplars, and the map from exemplar to class."""
     items = _items(spark, sf)
     rows = bounded_rows(
         K.first_per_class(items, "label", "vec_id", EXEMPLARS), MAX_EXEMPLARS, "exemplars")
@@ -87,7 +93,7 @@ def _nearest(spark, sf):
                         [r["vector"] for r in rows], 3)
     labels = F.create_map(*[
         F.lit(x) for r in rows for x in (r["vec_id"], r["label"])])
-    return near.withColumn("predicted", labels[F.element_at("nearest", 1)["exemplar"]])
+    return near.withColumn("predicted", labels[F.element_at("nearest", 1)["exemplar"]]), labels
 
 
 @queries.query(f"""WITH {NEAREST},
@@ -106,6 +112,31 @@ def nearest_exemplar(spark, sf):
     return K.agreement(near, "label", "predicted")
 
 
+@queries.query(f"""WITH {NEAREST}, other AS (SELECT r.vec_id, min_by(r.predicted, r.r) AS predicted,
+    min_by(r.s, r.r) AS s FROM ranked r JOIN nearest n USING (vec_id)
+    WHERE r.r <= 3 AND r.predicted <> n.predicted GROUP BY r.vec_id)
+  SELECT n.vec_id, 'Item ' || n.vec_id || ': class ' || n.predicted || ' ('
+      || printf('%.2f', round(n.s, 4) * 100) || '%)' || coalesce(', next ' || o.predicted || ' ('
+      || printf('%.2f', round(o.s, 4) * 100) || '%)', '') || '.' AS answer,
+    'image_classifier_tool' AS source, round(n.s, 4) AS confidence
+  FROM nearest n LEFT JOIN other o USING (vec_id)""")
+def image_answers(spark, sf):
+    """The class of every vector in words, with the next other class among its three nearest."""
+    near, labels = _labelled(spark, sf)
+    best = F.element_at("nearest", 1)
+    other = F.get(F.filter("nearest", lambda e: labels[e["exemplar"]] != F.col("predicted")),
+                  F.lit(0))
+    said = near.withColumns({
+        "s": F.round(best["similarity"], 4), "next": labels[other["exemplar"]].cast("string"),
+        "next_s": F.round(other["similarity"], 4)})
+    answer = A.image_answer(
+        F.col("predicted").cast("string"), F.col("s"), F.col("next"), F.col("next_s"),
+        F.concat(F.lit("Item "), F.col("vec_id").cast("string")))
+    response = A.response(answer, F.lit("image_classifier_tool"), F.col("s"))
+    return said.select("vec_id", response.alias("r")).select(
+        "vec_id", "r.answer", "r.source", "r.confidence")
+
+
 def _pairs(spark, sf):
     return K.pair_counts(_nearest(spark, sf), "label", "predicted")
 
@@ -218,22 +249,66 @@ def quota_split(spark, sf):
         F.count("*").alias("n"), F.sum("vec_id").alias("id_sum"))
 
 
+_heads: dict[tuple[str, str], tuple] = {}
+
+
+def _head(spark, sf):
+    """(test rows with the kept head's output, best, history); fitted once per folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _heads:
+        parts = staged(P.stratified_split(table(spark, sf, "embeddings"), "vec_id", "label"))
+        train = parts.where(F.col("split") == "train").drop("split")
+        inner = P.stratified_split(train, "vec_id", "label", seed=7)
+        best, history = ML.fit_head(
+            inner.where(F.col("split") == "train"), inner.where(F.col("split") == "test"),
+            [0.0, 0.01, 0.1])
+        test = parts.where(F.col("split") == "test").drop("split")
+        _heads[key] = staged(ML.head_predictions(best[0], test)), best, history
+    return _heads[key]
+
+
 @queries.query()
 def head_metrics(spark, sf):
-    """Linear head on cached vectors, setting chosen on validation, measured on test."""
-    items = table(spark, sf, "embeddings")
-    parts = staged(P.stratified_split(items, "vec_id", "label"))
-    train = parts.where(F.col("split") == "train").drop("split")
-    test = parts.where(F.col("split") == "test")
-    inner = P.stratified_split(train, "vec_id", "label", seed=7)
-    model, accuracy, strength = ML.fit_head(
-        inner.where(F.col("split") == "train"), inner.where(F.col("split") == "test"),
-        [0.0, 0.01, 0.1])
-    scored = ML.head_predictions(model, test)
+    """Linear head on cached vectors, best validated state kept, measured on test."""
+    scored, (_, accuracy, strength, rounds), _ = _head(spark, sf)
     return scored.agg(
         F.count("*").alias("n_test"),
         F.round(F.avg((F.col("predicted") == F.col("label")).cast("double")), 6)
         .alias("test_accuracy"),
         F.round(F.avg("confidence"), 6).alias("mean_confidence"),
         F.lit(float(accuracy)).alias("validation_accuracy"),
-        F.lit(float(strength)).alias("chosen_strength"))
+        F.lit(float(strength)).alias("chosen_strength"), F.lit(rounds).alias("chosen_rounds"))
+
+
+@queries.query()
+def head_output(spark, sf):
+    """Per test vector: class, confidence and the three best classes with their shares."""
+    scored, *_ = _head(spark, sf)
+    return scored.select(
+        "vec_id", "label", "predicted", F.round("confidence", 6).alias("confidence"),
+        F.transform("top3", lambda e: F.struct(
+            e["index"].alias("class"), F.round(e["probability"], 6).alias("share"))).alias("top3"))
+
+
+@queries.query("""WITH sized AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label
+      ORDER BY md5(CAST(vec_id AS VARCHAR) || ':42'), vec_id) AS r,
+    count(*) OVER (PARTITION BY label) AS n, max(label) OVER () + 1 AS classes FROM embeddings)
+  SELECT vec_id, CAST(classes AS INTEGER) AS n_classes, 1 AS sums_to_one, 1 AS is_argmax,
+    1 AS ordered, CAST(least(3, classes) AS INTEGER) AS n_top, 1 AS first_is_best,
+    1 AS best_state_kept FROM sized WHERE r <= (20 * n * 2 + 100) // 200""")
+def head_checks(spark, sf):
+    """What must hold of every row of ``head_output``, and of the state that was kept."""
+    scored, best, history = _head(spark, sf)
+    p, top = F.col("probabilities"), F.col("top3")
+    higher = F.exists(p, lambda x: x > F.get(p, F.col("predicted")))
+    share = F.transform(top, lambda e: e["probability"])
+    held = best[1] == max(h[2] for h in history)
+    return scored.select(
+        "vec_id", F.size(p).alias("n_classes"),
+        (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9).cast("int")
+        .alias("sums_to_one"), (~higher).cast("int").alias("is_argmax"),
+        (share == F.sort_array(share, asc=False)).cast("int").alias("ordered"),
+        F.size(top).alias("n_top"),
+        ((F.get(top, F.lit(0))["probability"] == F.col("confidence"))
+         & (F.get(p, F.get(top, F.lit(0))["index"]) == F.col("confidence"))).cast("int")
+        .alias("first_is_best"), F.lit(int(held)).alias("best_state_kept"))

@@ -70,10 +70,3 @@ ANSWER = T.StructType([
     T.StructField("source", T.StringType()),
     T.StructField("confidence", T.DoubleType()),
 ])
-
-MODEL_METADATA = T.StructType([
-    T.StructField("model_type", T.StringType()),
-    T.StructField("threshold", T.DoubleType()),
-    T.StructField("f1_at_threshold", T.DoubleType()),
-    T.StructField("auc", T.DoubleType()),
-])

@@ -94,9 +94,10 @@ def _csv_text(spark: SparkSession, path: str, corrupt: str | None = None) -> Dat
 def batch_csv(spark: SparkSession, path: str, expected: T.StructType = S.ORDERS) -> DataFrame:
     """User file: columns are matched by name; a bad value becomes NULL, not a failed job.
 
-    Adds ``missing_columns``, the contract columns the file does not have, and
-    ``corrupt_record``, the whole line where it has more or fewer cells than the header. A
-    column that is absent is different from a value that is NULL.
+    Adds ``missing_columns``, the contract columns the file does not have, ``bad_columns``, those
+    whose cell cannot be read as its type, and ``corrupt_record``, the whole line where it has
+    more or fewer cells than the header. A column that is absent is different from a value that
+    is NULL.
     """
     raw = _csv_text(spark, path, "corrupt_record")
     have = set(raw.columns)
@@ -105,8 +106,10 @@ def batch_csv(spark: SparkSession, path: str, expected: T.StructType = S.ORDERS)
         F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in have
         else F.lit(None).cast(f.dataType).alias(f.name) for f in expected]
     extra = [c for c in raw.columns if c not in {f.name for f in expected}]
+    bad = [F.when((F.col(f.name) != "") & F.col(f.name).try_cast(f.dataType).isNull(),
+                  F.lit(f.name)) for f in expected if f.name in have]
     return raw.select(
-        *typed, *extra,
+        *typed, *extra, F.array_compact(F.array(*bad)).cast("array<string>").alias("bad_columns"),
         F.array(*[F.lit(a) for a in absent]).cast("array<string>").alias("missing_columns"))
 
 
@@ -159,11 +162,14 @@ def coerced_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, path: str, pattern: str = "*.md",
-              at_least: int = 12) -> DataFrame:
-    """Whole-file documents. The first line must be ``# Title``; the rest is the text."""
-    raw = (
-        spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
-        .select(F.col("value"), F.col("_metadata.file_name").alias("file")))
+              at_least: int = 12, identifier: str | None = None) -> DataFrame:
+    """Whole-file documents. The first line must be ``# Title``; the rest is the text.
+
+    The id is the file's name, or the folder value ``identifier=...`` where that is given.
+    """
+    raw = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True).select(
+        F.col("value"), F.regexp_replace("_metadata.file_name", r"\.[^.]*$", "")
+        .alias("id") if identifier is None else F.col(identifier).cast("string").alias("id"))
     lines = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\r?\n")
     first = F.element_at(lines, 1)
     body = F.filter(
@@ -171,9 +177,8 @@ def documents(spark: SparkSession, path: str, pattern: str = "*.md",
                     lambda line: F.trim(line)),
         lambda s: s != "")
     parsed = raw.select(
-        F.regexp_replace("file", r"\.[^.]*$", "").alias("id"),
-        F.when(first.startswith("# "), F.trim(F.substr(first, F.lit(3))))
-        .otherwise(F.raise_error(F.concat("file", F.lit(": first line must be '# Title'"))))
+        "id", F.when(first.startswith("# "), F.trim(F.substr(first, F.lit(3))))
+        .otherwise(F.raise_error(F.concat("id", F.lit(": first line must be '# Title'"))))
         .alias("title"),
         F.concat_ws(" ", body).alias("text"))
     found = raw.limit(at_least).count()
@@ -188,17 +193,6 @@ def catalog_json(spark: SparkSession, path: str, schema: T.StructType = S.CATALO
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def metadata_json(spark: SparkSession, path: str) -> dict:
-    """Model metadata: one small object, used on the driver."""
-    row = spark.read.schema(S.MODEL_METADATA).option("multiLine", True).json(path).first()
-    return row.asDict()
-
-
-def vector_index(spark: SparkSession, path: str) -> DataFrame:
-    require_path(spark, path)
-    return spark.read.parquet(path)
-
-
 def feature_cache(spark: SparkSession, path: str) -> DataFrame:
     require_path(spark, path)
     return spark.read.parquet(path)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import md5
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,43 +25,46 @@ def parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def write_vector_index(index: DataFrame, path: str) -> None:
-    parquet(index, path)
+Encoder = Callable[[pa.RecordBatch], pa.RecordBatch]
 
 
-def write_feature_cache(df: DataFrame, path: str, encode: Callable[[pd.DataFrame], pd.DataFrame],
-                        schema: str) -> None:
+def write_feature_cache(df: DataFrame, path: str, encode: Encoder, schema: str) -> None:
     """Run the encoder once over Arrow batches and keep the vectors; training reads them."""
     parquet(encode_batches(df, encode, schema), path)
 
 
-def encode_batches(df: DataFrame, encode: Callable[[pd.DataFrame], pd.DataFrame],
-                   schema: str) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def encode_batches(df: DataFrame, encode: Encoder, schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield encode(batch)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
-def hashed_bag_encoder(dim: int = 64, seed: int = 0) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Default local encoder: token hashing into ``dim`` signed slots, unit length.
+def hashed_bag_encoder(dim: int = 64) -> Encoder:
+    """Default local encoder: tokens hashed into ``dim`` signed slots, unit length.
 
-    Takes (id, tokens) and gives (id, features). Deterministic on every machine.
+    Takes (id, tokens) and gives (id, features). A token's number is the first 52 bits of its
+    MD5: modulo ``dim`` its slot, the 17th bit its sign. Every distinct token of a batch is
+    hashed once, and the slots of all rows are summed together.
     """
-    def encode(batch: pd.DataFrame) -> pd.DataFrame:
-        import zlib
-
-        import numpy as np
-
-        out = np.zeros((len(batch), dim), dtype=np.float64)
-        for row, words in enumerate(batch["tokens"]):
-            for word in words:
-                h = zlib.crc32(word.encode("utf-8"), seed)
-                out[row, h % dim] += 1.0 if (h >> 16) & 1 else -1.0
-        norms = np.linalg.norm(out, axis=1, keepdims=True)
-        out = np.divide(out, norms, out=np.zeros_like(out), where=norms > 0)
-        return pd.DataFrame({"id": batch["id"], "features": list(out.astype("float32"))})
+    def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tokens = batch.column("tokens")
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        flat = tokens.flatten().dictionary_encode()
+        number = np.array([int(md5(t.encode()).hexdigest()[:13], 16)
+                           for t in flat.dictionary.to_pylist()], np.int64)
+        code = flat.indices.to_numpy(zero_copy_only=False)
+        cell = np.repeat(np.arange(len(lengths)), lengths) * dim + (number % dim)[code]
+        sign = np.where(number >> 16 & 1, 1.0, -1.0)[code]
+        sums = np.bincount(cell, sign, len(lengths) * dim).astype(float).reshape(-1, dim)
+        norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+        out = np.divide(sums, norms, out=np.zeros_like(sums), where=norms > 0)
+        offsets = pa.array(np.arange(len(lengths) + 1, dtype=np.int32) * dim)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"),
+             pa.ListArray.from_arrays(offsets, pa.array(out.ravel().astype(np.float32)))],
+            names=["id", "features"])
 
     return encode
 

@@ -132,6 +132,30 @@ def test_skewed_lookup_keeps_every_row(spark):
     assert text.where("name = 'hot'").count() == sum(k == 7 for _, k in facts)
 
 
+def test_cuts_are_found_in_buckets_of_any_size(spark, monkeypatch):
+    rows = [(i, [None, 0, 1][i % 3]) for i in range(900)]
+    df = spark.createDataFrame(rows, "x long, c int")
+    quotas = {None: [0, 7, 300], 0: [1, 150], 1: [299, 999]}
+    want = O.hash_cuts(df, "x", "c", 5, quotas)
+    assert [O.bucket_digits(n) for n in (0, 10 ** 6, 10 ** 10, 10 ** 15)] == [3, 3, 4, 5]
+    monkeypatch.setattr(O, "RANKED", 2)
+    assert O.hash_cuts(df, "x", "c", 5, quotas, digits=1) == want
+    hashed = df.withColumn("h", O.hash_key("x", 5)).collect()
+    for cls, cuts in want.items():
+        for count, cut in cuts.items():
+            assert sum(r["h"] <= cut for r in hashed if r["c"] == cls) == count
+    assert 999 not in want[1]
+
+
+def test_time_buckets_follow_the_rows(spark):
+    df = spark.range(400).select((F.col("id") % 2).alias("k"), F.timestamp_seconds(
+        1_700_000_000 + F.when(F.col("id") < 300, 0).otherwise(F.col("id") * 4000)).alias("ts"))
+    for most, name in ((400, "day"), (150, "day"), (149, "ts")):
+        got = O.time_bucket(df, ["k"], "ts", most)
+        assert name in str(got).lower()
+    assert "hour" in str(O.time_bucket(df.where("ts > '2023-11-20'"), ["k"], "ts", 5)).lower()
+
+
 def test_hash_rank_is_a_permutation(spark):
     df = spark.range(1000).withColumnRenamed("id", "x")
     ranks = [r["rank"] for r in O.hash_rank(df, "x", 1).collect()]

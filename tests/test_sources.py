@@ -52,15 +52,23 @@ def test_reports(spark, tmp_path):
     assert nested.where("k = 1").first()["rows"][0]["v"] == "a"
 
 
-def test_encoder_is_deterministic():
-    import pandas as pd
-
-    enc = OUT.hashed_bag_encoder(16)
-    frame = pd.DataFrame({"id": [1, 2], "tokens": [["a", "b"], []]})
-    a, b = enc(frame), enc(frame)
-    assert all((x == y).all() for x, y in zip(a["features"], b["features"]))
-    assert sum(v * v for v in a["features"][0]) == pytest.approx(1.0)
-    assert sum(v * v for v in a["features"][1]) == 0.0
+def test_encoder_is_deterministic(spark):
+    from hashlib import md5
+
+    rows = [(1, ["a", "b", "a"]), (2, []), (3, None), (4, [f"t{i % 9}é" for i in range(50)])]
+    df = spark.createDataFrame(rows, "id bigint, tokens array<string>")
+    got = {r["id"]: r["features"] for r in OUT.encode_batches(
+        df, OUT.hashed_bag_encoder(16), "id bigint, features array<float>").collect()}
+    for id_, words in rows:
+        want = [0.0] * 16
+        for w in words or []:
+            n = int(md5(w.encode()).hexdigest()[:13], 16)
+            want[n % 16] += 1.0 if n >> 16 & 1 else -1.0
+        length = sum(x * x for x in want) ** 0.5 or 1.0
+        assert got[id_] == pytest.approx([x / length for x in want], abs=1e-6)
+    empty = OUT.encode_batches(df.where("false"), OUT.hashed_bag_encoder(16),
+                               "id bigint, features array<float>")
+    assert empty.collect() == []
 
 
 def test_logs_with_a_broken_answer(spark):
