@@ -41,6 +41,22 @@ def nested_chunks(chunk_table: DataFrame, size: int = 1000) -> DataFrame:
                            "chunks")
 
 
+def chunk_checks(chunk_table: DataFrame, documents: DataFrame) -> DataFrame:
+    """(check_name, n): chunks whose document is missing, documents without chunks, and those
+    whose places have gaps or repeats, all from one count per document."""
+    held = chunk_table.groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.min("pos").alias("low"), F.max("pos").alias("high"),
+        F.count_distinct("pos").alias("places"))
+    both = held.join(documents.select("doc_id", F.lit(1).alias("known")), "doc_id", "full")
+    has = F.col("n").isNotNull()
+    counted = both.agg(*[F.count_if(F.coalesce(bad, F.lit(False))).alias(name) for name, bad in {
+        "chunks without a document": F.col("known").isNull(),
+        "documents without a chunk": ~has,
+        "documents with a gap": has & ((F.col("low") != 0) | (F.col("high") + 1 != F.col("n"))),
+        "documents with a repeated place": has & (F.col("places") != F.col("n"))}.items()])
+    return counted.unpivot([], counted.columns, "check_name", "n")
+
+
 # The row marker counts rows in the same pass as the terms; tokens are never empty.
 ROW_MARK = ""
 MAX_VOCABULARY = 1_000_000

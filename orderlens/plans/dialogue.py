@@ -304,6 +304,27 @@ def conversation_intents(spark, sf):
         F.count("*").alias("n"), F.round(F.avg("similarity"), 4).alias("mean_similarity"))
 
 
+_MERGED = ", ".join(
+    f"'{f}=' || coalesce({e}, CAST({f} AS VARCHAR))" for f, e in sorted(slots_sql("text").items()))
+
+
+@queries.query(f"""WITH {B.ORDERS}, {TURNS}, m AS (SELECT order_id,
+    list_filter([{_MERGED}], lambda x: x IS NOT NULL) AS cells
+  FROM turns JOIN feats USING (order_id))
+  SELECT order_id, CAST(len(cells) AS INTEGER) AS n, array_to_string(cells, ';') AS features FROM m""")
+def merged_features(spark, sf):
+    """An order's own features with those its message states in their place."""
+    history = order_history(spark, sf)
+    turns = support_turns(history).select("order_id", "text")
+    rows = turns.join(history.select("order_id", *C.FEATURES), "order_id")
+    stored = T.slot_map({f: F.col(f) for f in C.FEATURES})
+    said = T.slot_map(T.slot_columns(F.col("text")))
+    cells = F.transform(F.array_sort(F.map_entries(T.merge_maps(stored, said))),
+                        lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.select("order_id", F.size(cells).alias("n"),
+                       F.array_join(cells, ";").alias("features"))
+
+
 _TALKED = f"(SELECT conv_id, turn, {ATTACK} AS text FROM conversations)"
 _TALK_HITS = _HITS.replace("(body,", "(text,")
 

@@ -99,6 +99,19 @@ def chunks(spark, sf):
     return _chunks(spark, sf)
 
 
+@queries.query(rf"""WITH {CHUNKS}, c AS (SELECT doc_id, count(*) AS n, min(pos) AS low, max(pos) AS high,
+    count(DISTINCT pos) AS places FROM chunks GROUP BY doc_id)
+  SELECT 'chunks without a document' AS check_name, count(*) FILTER (WHERE d.doc_id IS NULL) AS n
+    FROM c LEFT JOIN documents d USING (doc_id)
+  UNION ALL SELECT 'documents without a chunk', count(*) FILTER (WHERE c.doc_id IS NULL)
+    FROM documents d LEFT JOIN c USING (doc_id)
+  UNION ALL SELECT 'documents with a gap', count(*) FILTER (WHERE low <> 0 OR high + 1 <> n) FROM c
+  UNION ALL SELECT 'documents with a repeated place', count(*) FILTER (WHERE places <> n) FROM c""")
+def chunk_checks(spark, sf):
+    """Every chunk has its document, every document its chunks, in places without a gap."""
+    return R.chunk_checks(_chunks(spark, sf), table(spark, sf, "documents"))
+
+
 _NESTED = 40  # chunks in a segment
 
 

@@ -17,8 +17,9 @@ from orderlens.operators import profile as PR
 from orderlens.plans import base_sql as B
 from orderlens.plans.registry import Registry
 from orderlens.schemas import FeatureSpec
-from orderlens.session import staged
+from orderlens.session import new_folder, staged
 from orderlens.sources.readers import order_history, tables
+from orderlens.sources.sinks import csv_report
 
 queries = Registry()
 DIMS = ["product_category", "payment_method"]
@@ -522,12 +523,21 @@ def importance_comparison(spark, sf):
     return I.compare_importances(impurity, _permutation(scored))
 
 
-@queries.query(f"""WITH {B.SWEEP}
-  SELECT threshold, f1 AS fresh, f1 AS stored, 1 AS agrees FROM sweep""")
+# Report figures with four digits, one of them out of date.
+@queries.query(f"""WITH {B.SWEEP}, figures AS (SELECT threshold, f1,
+    CASE WHEN threshold = 0.5 THEN 0.0 ELSE round(f1, 4) END AS stored FROM sweep)
+  SELECT threshold, round(f1, 4) AS fresh, stored,
+    CASE WHEN abs(round(f1, 4) - stored) <= 0.00005 THEN 1 ELSE 0 END AS agrees FROM figures""")
 def recheck_results(spark, sf):
-    fresh = M.sweep(M.score_cube(_scored(spark, sf)))
-    stored = staged(fresh)
-    return M.compare_results(fresh, stored, ["threshold"], "f1")
+    """Recomputed F1 against the figures of a CSV report that was written before."""
+    path = new_folder(spark, "report")
+    fresh = M.sweep(M.score_cube(_scored(spark, sf))).select(
+        "threshold", F.round("f1", 4).alias("f1"))
+    fresh = staged(fresh)
+    csv_report(fresh.withColumn("f1", F.when(F.col("threshold") == 0.5, 0.0).otherwise(
+        F.col("f1"))), path)
+    stored = spark.read.schema("threshold double, f1 double").option("header", True).csv(path)
+    return M.compare_results(fresh, stored, ["threshold"], "f1", 0.00005)
 
 
 @queries.query(f"""WITH {B.ORDERS}, need AS (SELECT order_id * 2 AS order_id FROM feats)
