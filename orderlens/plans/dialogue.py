@@ -17,7 +17,8 @@ from orderlens.operators import routing as G
 from orderlens.operators import state as ST
 from orderlens.plans import base_sql as B
 from orderlens.plans.registry import Registry
-from orderlens.plans.retrieval import CATALOG, catalog, strip_sql
+from orderlens.plans.retrieval import (CATALOG, catalog, chunk_index, chunk_rows, product_index,
+                                       strip_sql)
 from orderlens.session import staged
 from orderlens.sources.readers import order_history, spread, table
 
@@ -671,15 +672,12 @@ def conversation_answers(spark, sf):
     turns = spread(table(spark, sf, "conversations")).where(F.col("role") == "user").select(
         "conv_id", "turn", "text")
     documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
-    chunk_table = staged(R.chunks(documents).select("doc_id", "pos", "chunk_text"))
+    chunk_table = chunk_rows(spark, sf).select("doc_id", "pos", "chunk_text")
     titles = documents.select("doc_id", F.format_string("Document %d", "doc_id").alias("title"))
     products = staged(catalog(spark, sf))
-    rows = products.select(F.col("product_id").alias("doc_id"), F.lit(0).alias("pos"),
-                           K.searchable_text().alias("chunk_text"))
-    # Written once: every round of follow-ups reads the weighed terms, not the texts.
-    knowledge = PL.Knowledge(
-        R.LexicalIndex.build(chunk_table).kept(), chunk_table, titles, products,
-        R.LexicalIndex.build(rows).kept())
+    # Every round of follow-ups reads the weighed terms as written, not the texts.
+    knowledge = PL.Knowledge(chunk_index(spark, sf), chunk_table, titles, products,
+                             product_index(spark, sf))
     return PL.answer_conversations(
         turns, staged(order_history(spark, sf)), knowledge, OPERATING)
 

@@ -11,7 +11,7 @@ from orderlens.operators import catalog as K
 from orderlens.operators import retrieval as R
 from orderlens.operators import routing as G
 from orderlens.plans.registry import Registry
-from orderlens.session import staged
+from orderlens.session import once, staged
 from orderlens.sources.readers import spread, table
 
 queries = Registry()
@@ -83,12 +83,27 @@ def _queries(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
 
 
-def _chunks(spark, sf):
-    return R.chunks(spread(table(spark, sf, "documents").select("doc_id", "text")))
+def chunk_rows(spark, sf):
+    return once(spark, sf, "chunks", lambda: staged(R.chunks(spread(
+        table(spark, sf, "documents").select("doc_id", "text")))))
+
+
+def chunk_index(spark, sf):
+    """The lexical index of all chunks."""
+    return once(spark, sf, "chunk index",
+                lambda: R.LexicalIndex.build(chunk_rows(spark, sf)).kept())
+
+
+def product_index(spark, sf):
+    """The lexical index of the catalog's searchable texts."""
+    return once(spark, sf, "product index", lambda: R.LexicalIndex.build(
+        catalog(spark, sf).select(
+            F.col("product_id").alias("doc_id"), F.lit(0).alias("pos"),
+            K.searchable_text().alias("chunk_text"))).kept())
 
 
 def _pool(spark, sf):
-    return R.LexicalIndex.build(_chunks(spark, sf)).search(_queries(spark, sf))
+    return chunk_index(spark, sf).search(_queries(spark, sf))
 
 
 @queries.query(rf"""WITH {CHUNKS}
@@ -96,7 +111,7 @@ def _pool(spark, sf):
          CAST(doc_id AS VARCHAR) || '::s' || CASE WHEN pos < 10 THEN '0' ELSE '' END
            || CAST(pos AS VARCHAR) AS chunk_id FROM chunks""")
 def chunks(spark, sf):
-    return _chunks(spark, sf)
+    return chunk_rows(spark, sf)
 
 
 @queries.query(rf"""WITH {CHUNKS}, c AS (SELECT doc_id, count(*) AS n, min(pos) AS low, max(pos) AS high,
@@ -109,7 +124,7 @@ def chunks(spark, sf):
   UNION ALL SELECT 'documents with a repeated place', count(*) FILTER (WHERE places <> n) FROM c""")
 def chunk_checks(spark, sf):
     """Every chunk has its document, every document its chunks, in places without a gap."""
-    return R.chunk_checks(_chunks(spark, sf), table(spark, sf, "documents"))
+    return R.chunk_checks(chunk_rows(spark, sf), table(spark, sf, "documents"))
 
 
 _NESTED = 40  # chunks in a segment
@@ -121,10 +136,10 @@ _NESTED = 40  # chunks in a segment
     count(*) AS n, md5(string_agg(CAST(doc_id AS VARCHAR) || '::s' || CASE WHEN pos < 10 THEN '0'
       ELSE '' END || CAST(pos AS VARCHAR) || ' ' || chunk_text, chr(10) ORDER BY pos)) AS digest
   FROM chunks GROUP BY doc_id, pos // {_NESTED}""")
-def document_chunks(spark, sf):
+def documentchunk_rows(spark, sf):
     """Documents with their chunks nested in linked segments."""
     lines = F.transform("chunks", lambda c: F.concat(c["chunk_id"], F.lit(" "), c["chunk_text"]))
-    return R.nested_chunks(_chunks(spark, sf), _NESTED).select(
+    return R.nested_chunks(chunk_rows(spark, sf), _NESTED).select(
         "doc_id", "segment", "previous", "n", F.md5(F.array_join(lines, "\n")).alias("digest"))
 
 
@@ -168,8 +183,8 @@ def groundedness(spark, sf):
   SELECT *, round(in_min - out_max, 4) AS gap, round((in_min + out_max) / 2, 6) AS midpoint,
          CASE WHEN out_max < 0.45 AND 0.45 <= in_min THEN 1 ELSE 0 END AS separates FROM a""")
 def calibration(spark, sf):
-    chunk_table, wanted = _chunks(spark, sf), _queries(spark, sf)
-    top = R.LexicalIndex.build(chunk_table).search(wanted).where(F.col("rank") <= C.TOP_K)
+    chunk_table, wanted = chunk_rows(spark, sf), _queries(spark, sf)
+    top = chunk_index(spark, sf).search(wanted).where(F.col("rank") <= C.TOP_K)
     inside = R.relevant_by_sentence(wanted, chunk_table).select("query_id").distinct().withColumn(
         "inside", F.lit(True))
     gated = R.groundedness(wanted, top).join(inside, "query_id", "left")
@@ -194,8 +209,8 @@ TOP3_DOCS = "SELECT query_id, doc_id FROM rolled WHERE doc_rank <= 3"
 
 @queries.query(f"{_scores_sql(TOP3_DOCS)} SELECT * FROM per")
 def retrieval_scores(spark, sf):
-    chunk_table, wanted = _chunks(spark, sf), _queries(spark, sf)
-    docs = R.search_documents(R.LexicalIndex.build(chunk_table).search(wanted))
+    chunk_table, wanted = chunk_rows(spark, sf), _queries(spark, sf)
+    docs = R.search_documents(chunk_index(spark, sf).search(wanted))
     return R.retrieval_scores(wanted, docs, R.relevant_by_sentence(wanted, chunk_table))
 
 
@@ -210,8 +225,8 @@ def retrieval_eval(spark, sf):
 
 @queries.query(f"{_scores_sql('SELECT query_id, doc_id FROM agent_best')} {_MEANS}")
 def retrieval_eval_agent(spark, sf):
-    chunk_table, wanted = _chunks(spark, sf), _queries(spark, sf)
-    docs = R.agent_documents(R.LexicalIndex.build(chunk_table).search(wanted))
+    chunk_table, wanted = chunk_rows(spark, sf), _queries(spark, sf)
+    docs = R.agent_documents(chunk_index(spark, sf).search(wanted))
     return R.macro_means(R.retrieval_scores(
         wanted, docs, R.relevant_by_sentence(wanted, chunk_table)))
 
@@ -271,12 +286,12 @@ REFUSAL = C.REFUSAL_TEXT.replace("{shop}", A.SHOP).replace("'", "''")
   FROM worded""")
 def policy_answers(spark, sf):
     """Questions answered from the documents; the intent is derived from the item number."""
-    chunk_table = staged(_chunks(spark, sf).select("doc_id", "pos", "chunk_text"))
+    chunk_table = chunk_rows(spark, sf).select("doc_id", "pos", "chunk_text")
     q = F.col("query_id")
     turns = _queries(spark, sf).withColumn(
         "fine_intent", F.when(q % 3 == 1, "comparison").when(q % 3 == 2, "explanation")
         .otherwise("policy"))
-    pool = staged(R.LexicalIndex.build(chunk_table).search(turns))
+    pool = staged(chunk_index(spark, sf).search(turns))
     used = pool.join(turns.select("query_id", "fine_intent"), "query_id").where(
         F.col("rank") <= G.pool_size(F.col("fine_intent")))
     docs = R.to_documents(used)
@@ -415,12 +430,10 @@ SEARCHABLE = (", texts AS (SELECT product_id AS doc_id, CAST(0 AS INTEGER) AS po
   SELECT query_id, doc_id AS product_id, score, rank FROM pool WHERE rank <= 5 AND score >= 0.45""")
 def product_search(spark, sf):
     products = catalog(spark, sf)
-    rows = products.select(F.col("product_id").alias("doc_id"), F.lit(0).alias("pos"),
-                           K.searchable_text().alias("chunk_text"))
     wanted = products.groupBy("product_name", "description").agg(
         F.min("product_id").alias("query_id")).select(
         "query_id", F.concat_ws(" ", "product_name", "description").alias("text"))
-    return K.search_products(R.LexicalIndex.build(rows), wanted).select(
+    return K.search_products(product_index(spark, sf), wanted).select(
         "query_id", F.col("doc_id").alias("product_id"), "score", "rank")
 
 
@@ -450,9 +463,8 @@ _OPEN = "SELECT query_id, text FROM questions WHERE query_id NOT IN (SELECT quer
 def product_answers(spark, sf):
     """Catalog questions answered: criteria first, else the nearest products, in words."""
     products = catalog(spark, sf)
-    rows = products.select(F.col("product_id").alias("doc_id"), F.lit(0).alias("pos"),
-                           K.searchable_text().alias("chunk_text"))
-    found = K.first_products(staged(questions(spark, sf)), products, R.LexicalIndex.build(rows))
+    found = K.first_products(staged(questions(spark, sf)), products,
+                             product_index(spark, sf))
     return found.select(
         "query_id", "how", "n_matches",
         F.when(F.col("how") != "none", A.product_answer(F.col("products"), F.col("n_matches")))

@@ -12,7 +12,7 @@ from orderlens.operators import models as ML
 from orderlens.operators import prepare as P
 from orderlens.operators.topk import dense_top_k, nearest_rows
 from orderlens.plans.registry import Registry
-from orderlens.session import bounded_rows, staged
+from orderlens.session import bounded_rows, once, staged
 from orderlens.sources.readers import table
 
 queries = Registry()
@@ -249,13 +249,9 @@ def quota_split(spark, sf):
         F.count("*").alias("n"), F.sum("vec_id").alias("id_sum"))
 
 
-_heads: dict[tuple[str, str], tuple] = {}
-
-
 def _head(spark, sf):
     """(test rows with the kept head's output, best, history); fitted once per folder."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _heads:
+    def make():
         parts = staged(P.stratified_split(table(spark, sf, "embeddings"), "vec_id", "label"))
         train = parts.where(F.col("split") == "train").drop("split")
         inner = P.stratified_split(train, "vec_id", "label", seed=7)
@@ -263,8 +259,9 @@ def _head(spark, sf):
             inner.where(F.col("split") == "train"), inner.where(F.col("split") == "test"),
             [0.0, 0.01, 0.1])
         test = parts.where(F.col("split") == "test").drop("split")
-        _heads[key] = staged(ML.head_predictions(best[0], test)), best, history
-    return _heads[key]
+        return staged(ML.head_predictions(best[0], test)), best, history
+
+    return once(spark, sf, "head", make)
 
 
 @queries.query()

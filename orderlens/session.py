@@ -75,6 +75,22 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_kept: dict[tuple[str, str, str], object] = {}
+
+
+def once(spark: SparkSession, folder: str, name: str, make):
+    """What ``make`` writes for an input folder, made once per application and then read as
+    written. ``forget_kept`` makes later calls build anew, for a folder that has changed."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def forget_kept() -> None:
+    _kept.clear()
+
+
 def bounded_rows(df: DataFrame, limit: int, what: str) -> list:
     """Collect a table that is small by construction, and fail if it is not.
 
