@@ -51,6 +51,22 @@ def fit_logistic(train: DataFrame, label: str = C.TARGET, features: str = "featu
         regParam=1.0 / n, standardization=False, tol=1e-9).fit(weighted)
 
 
+def logistic_gradient(model, train: DataFrame, label: str = C.TARGET,
+                      features: str = "features") -> float:
+    """Largest absolute entry of the gradient of the penalised, balanced loss at the fitted
+    coefficients: zero where the fit has reached its optimum."""
+    weight = weight_column(train, label)
+    rows = model.transform(train).select(
+        weight.alias("_w"), (weight * (positive_score() - F.col(label))).alias("_e"),
+        vector_to_array(features).alias("_x"))
+    width = len(model.coefficients)
+    sums = rows.agg(F.sum("_w").alias("w"), F.sum("_e").alias("b"), *[
+        F.sum(F.col("_e") * F.get("_x", F.lit(i))).alias(f"g{i}") for i in range(width)]).first()
+    slopes = [sums[f"g{i}"] / sums["w"] + model.getRegParam() * model.coefficients[i]
+              for i in range(width)]
+    return max(map(abs, [*slopes, sums["b"] / sums["w"]]))
+
+
 def forest(label: str = C.TARGET, features: str = "features", num_trees: int = 100,
            max_depth: int = 6, seed: int = C.SPLIT_SEED) -> RandomForestClassifier:
     return RandomForestClassifier(
