@@ -183,14 +183,42 @@ def test_packing_odd_documents(spark):
     assert packing.pack(no_docs(spark), packing.n_words()).collect() == []
 
 
+def test_packing_many_equal_ids(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_ROWS", 20)
+    rows = [(None, "a b c")] * 300 + [(7, "a b")] * 200 + [(i, "w " * (i % 40)) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = packing.pack(df, packing.n_words(), buckets=3, budget=100).collect()
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in got) == Counter(
+        (d, len(t.split())) for d, t in rows)
+    check_packed(got, 100)
+
+
+def test_limits_stay_optimal_for_many_lengths():
+    rnd = random.Random(3)
+    lengths = sorted(rnd.sample(range(200_000), 300))
+    counts = [rnd.randint(1, 9) for _ in lengths]
+    seen = [0, *itertools.accumulate(counts)]
+    cost = [0] + [10 ** 18] * 300
+    for _ in range(16):  # the plain recurrence
+        cost = [0 if j == 0 else min(cost[i] + (seen[j] - seen[i]) * lengths[j - 1]
+                                     for i in range(j)) for j in range(301)]
+    best = packing.best_limits(lengths, counts, 16)
+    assert len(best) == 16 and padded(lengths, counts, best) == cost[300]
+
+
+def test_a_limit_is_the_length_of_some_text(spark):
+    df = spark.createDataFrame([(2 ** 30 + 5,), (2 ** 30 + 9,), (3,)], "n long")
+    assert packing.bucket_limits(df, "n", 4) == [3, 2 ** 30 + 9]
+
+
 def test_long_lengths_share_bins(spark):
     from pyspark.sql import functions as F
 
-    values = [0, 1, 1024, 1025, 5000, 2 ** 20 + 1, 2 ** 39 + 12345]
+    values = [0, 1, 1024, 1025, 100_001, 2 ** 20 + 1, 2 ** 39 + 12345]
     got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v long").orderBy("v")
            .select(packing.bin_of(F.col("v"))).collect()]
-    assert got[:3] == [0, 1, 1024]
-    assert all(v <= b <= v * (1 + 2 ** -7) + 1 for v, b in zip(values, got))
+    assert got[:5] == values[:5]
+    assert all(v <= b <= v * (1 + 2 ** -16) + 1 for v, b in zip(values, got))
 
 
 TURNS = [
