@@ -276,7 +276,7 @@ def relevant_by_sentence(queries: DataFrame, chunk_table: DataFrame,
         held = rows.join(F.broadcast(asked), "chunk_text")
     else:
         held = skewed_lookup(rows, asked, "chunk_text").where(F.col("_queries").isNotNull())
-    shared = held.distinct().select("doc_id", F.explode("_queries").alias("query_id")).groupBy(
+    shared = held.dropDuplicates(["doc_id", "chunk_text"]).select("doc_id", F.explode("_queries").alias("query_id")).groupBy(
         "query_id", "doc_id").agg(F.count("*").alias("n_shared"))
     sizes = queries.select("query_id", F.size(F.array_distinct(T.sentences(F.col("text"))))
                            .alias("n_sentences"))
