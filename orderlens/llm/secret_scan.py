@@ -5,7 +5,8 @@ gaps between its matches, so a match starts where the gaps and matches before it
 running sum is a window over one document's matches. DataFrame functions only.
 
 A value that many owners or many repositories hold is a copied example; one that a single owner
-or two hold in few repositories looks live. Base spans are always reported, spans of the further kinds only where they look live.
+or two hold in few repositories looks live. Base spans are always reported, spans of the
+further kinds only where they look live.
 """
 
 from __future__ import annotations
@@ -36,25 +37,37 @@ MOST_OWNERS = 2  # a value of more owners is an example,
 MOST_REPOS = 20  # and so is one in more repositories, under however few owners
 
 
-def matches(docs: DataFrame, kind: str, pattern: str, group: int, least: int,
-            hint: str | None) -> DataFrame:
-    """Long enough matches of one kind: key columns, kind number, start, end, value."""
-    may = F.col("text").contains(hint) if hint else F.lit(True)
-    hits = docs.where(may & F.col("text").rlike(pattern))
-    gaps = F.transform(F.split("text", pattern, -1), lambda g: F.char_length(g))
-    found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    parts = hits.select("_doc", "_hash", "_owner", "_repo", F.posexplode(
-        F.arrays_zip(gaps.alias("gap"), found.alias("match"))).alias("_i", "_p"))
-    parts = parts.select("_doc", "_hash", "_owner", "_repo", "_i", "_p.*").where(
-        F.col("match").isNotNull())
+def matches(docs: DataFrame) -> DataFrame:
+    """Long enough matches of all kinds in one pass over the texts: key columns, kind number,
+    start, end, and the value's hash."""
+    key, text = ["_doc", "_hash", "_owner", "_repo"], F.col("text")
+
+    def places(kind: int, pattern: str, hint: str | None) -> Column:
+        may = text.contains(hint) if hint else F.lit(True)
+        gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
+        found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+        return F.when(may & text.rlike(pattern), F.struct(
+            F.lit(kind).alias("kind"),
+            F.arrays_zip(gaps.alias("gap"), found.alias("match")).alias("places")))
+
+    kinds = {**BASE, **MORE}
+    hits = docs.select(*key, F.explode(F.array_compact(F.array(*[
+        places(n, pattern, hint) for n, (pattern, _, _, hint) in enumerate(kinds.values())])))
+        .alias("_k"))
+    parts = hits.select(*key, "_k.kind", F.posexplode("_k.places").alias("_i", "_p")).select(
+        *key, "kind", "_i", "_p.*").where(F.col("match").isNotNull())
     # Repeated rows have the same matches; one copy is enough.
-    parts = parts.dropDuplicates(["_doc", "_hash", "_owner", "_repo", "_i"])
-    before = W.partitionBy("_doc", "_hash", "_owner", "_repo").orderBy("_i")
+    parts = parts.dropDuplicates([*key, "kind", "_i"])
+    before = W.partitionBy(*key, "kind").orderBy("_i")
     ends = F.sum(F.col("gap") + F.char_length("match")).over(before)
-    value = F.regexp_extract("match", pattern, group) if group else F.col("match")
+    value, least = F.col("match"), F.lit(0)
+    for n, (pattern, group, short, _) in enumerate(kinds.values()):
+        if group:
+            value = F.when(F.col("kind") == n, F.regexp_extract("match", pattern, group)) \
+                .otherwise(value)
+        least = F.when(F.col("kind") == n, short).otherwise(least)
     return parts.select(
-        "_doc", "_hash", "_owner", "_repo", F.lit(ORDER.index(kind)).alias("kind"),
-        (ends - F.char_length("match")).alias("start"), ends.alias("end"),
+        *key, "kind", (ends - F.char_length("match")).alias("start"), ends.alias("end"),
         value.alias("value")).where(F.char_length("value") >= least).withColumn(
         "value", F.sha2("value", 256))
 
@@ -83,11 +96,7 @@ def scan(docs: DataFrame, owner: str = "source", repo: str = "doc_id", doc: str
         F.coalesce(F.col(owner).cast("string"), F.lit("\u0000")).alias("_owner"),
         F.coalesce(F.col(repo).cast("string"), F.lit("\u0000")).alias("_repo"))
     plain = plain.select("*", *document_key())
-    spans = None
-    for kind, (pattern, group, least, hint) in {**BASE, **MORE}.items():
-        found = matches(plain, kind, pattern, group, least, hint)
-        spans = found if spans is None else spans.union(found)
-    spans = staged(spans)
+    spans = staged(matches(plain))
     owners = staged(ownership(spans))
     known = lookup(spans, owners, ["value"], "rows").withColumn(
         "live", (F.col("owners") <= most_owners) & (F.col("repos") <= most_repos))
