@@ -25,3 +25,24 @@ def test_equal_texts_are_searched_once_against_one_vector(spark, monkeypatch):
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, plain.collect()))
     assert sizes == [(5, 4)]
     assert merged.where("query_id = 2").agg(F.count("*")).first()[0] == 6
+
+
+def test_only_rare_terms_are_joined(spark, monkeypatch):
+    words = ["a", "b", "c", "d", "e", "f"]
+    rows = [(i % 7 if i % 5 else None, i % 3, [w for j, w in enumerate(words) if i % (2 ** j) == 0]
+             + (["x%d" % i] * 2 if i % 4 == 0 else [])) for i in range(64)] + [(9, 9, None)]
+    tokens = spark.createDataFrame(rows, "doc_id bigint, pos int, tokens array<string>")
+    idfs = R.idf_table(R.document_frequency(tokens))
+
+    def flat(df):
+        return sorted((str(r[0]), r[1], sorted((t, round(w, 12)) for t, w in zip(r[2], r[3])))
+                      for r in df.collect())
+
+    whole = flat(R.term_vectors(tokens, idfs, ["doc_id", "pos"], 1.0))
+    joined = []
+    real = R._with_rare
+    monkeypatch.setattr(R, "_with_rare", lambda t, rare, *rest: (
+        joined.append({r["term"] for r in rare.collect()}), real(t, rare, *rest))[1])
+    assert flat(R.term_vectors(tokens, idfs, ["doc_id", "pos"], 1.0, 4)) == whole
+    assert not joined[0] & {"a", "b", "c"} and "x4" in joined[0]
+    assert flat(R.term_vectors(tokens, idfs, ["doc_id", "pos"], 1.0, 0)) == whole
