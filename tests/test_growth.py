@@ -1,7 +1,10 @@
 """Work that must not grow faster than the input: equal texts, rare words, files, trees."""
 
+import re
+
 from pyspark.sql import functions as F
 
+from orderlens.operators import catalog as K
 from orderlens.operators import retrieval as R
 
 
@@ -46,3 +49,17 @@ def test_only_rare_terms_are_joined(spark, monkeypatch):
     assert flat(R.term_vectors(tokens, idfs, ["doc_id", "pos"], 1.0, 4)) == whole
     assert not joined[0] & {"a", "b", "c"} and "x4" in joined[0]
     assert flat(R.term_vectors(tokens, idfs, ["doc_id", "pos"], 1.0, 0)) == whole
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_places_of_texts_are_not_moved_before_they_meet_a_name(spark):
+    texts = spark.createDataFrame([("two bolts, two bolts",), ("no",), (None,)], "text string")
+    names = spark.createDataFrame([("bolts", "Home"), ("ring", "Beauty")],
+                                  "name string, category string")
+    out = K.dictionary_matches(texts, names)
+    assert not re.search(r"Aggregate \[_text#\d+, _at#\d+\]", _plan(out))
+    assert {r["text"]: r["catalog_category"] for r in out.collect()} == {
+        "two bolts, two bolts": "Home", "no": None, None: None}
