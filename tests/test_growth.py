@@ -4,8 +4,10 @@ import re
 
 from pyspark.sql import functions as F
 
+from orderlens.functions import text as T
 from orderlens.operators import catalog as K
 from orderlens.operators import retrieval as R
+from orderlens.plans.catalogue import all_queries
 
 
 def test_equal_texts_are_searched_once_against_one_vector(spark, monkeypatch):
@@ -63,3 +65,13 @@ def test_places_of_texts_are_not_moved_before_they_meet_a_name(spark):
     assert not re.search(r"Aggregate \[_text#\d+, _at#\d+\]", _plan(out))
     assert {r["text"]: r["catalog_category"] for r in out.collect()} == {
         "two bolts, two bolts": "Home", "no": None, None: None}
+
+
+def test_merged_features_try_every_pattern_once(spark):
+    sf = "/root/testdata/sf0.001"
+    text = F.col("text")
+    alone = spark.createDataFrame([("a",)], "text string").select(
+        *[c.alias(f) for f, c in T.slot_columns(text).items()])
+    wanted = alone._jdf.queryExecution().analyzed().toString().count("regexp_extract(")
+    merged = all_queries()["merged_features"].run(spark, sf)
+    assert merged._jdf.queryExecution().analyzed().toString().count("regexp_extract(") <= wanted
