@@ -503,8 +503,8 @@ def _permuted_cte() -> str:
 
 
 def _permutation(scored):
-    permuted = I.permuted_rule_scores(scored, "order_id", S.RULE_INPUTS, REPEATS)
-    return I.permutation_importance(scored, permuted)
+    return I.importance_of_aucs(scored, I.permuted_rule_aucs(
+        scored, "order_id", S.RULE_INPUTS, REPEATS))
 
 
 @queries.query(f"WITH {_permuted_cte()} SELECT * FROM perm_ranked")

@@ -1,14 +1,18 @@
 """Work that must not grow faster than the input: equal texts, rare words, files, trees."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
 
 from orderlens import constants as C
+from orderlens.functions import scoring as S
 from orderlens.functions import text as T
 from orderlens.operators import catalog as K
+from orderlens.operators import importance as I
 from orderlens.operators import retrieval as R
 from orderlens.operators import state as ST
+from orderlens.operators.metrics import roc_auc
 from orderlens.plans.catalogue import all_queries
 
 
@@ -152,3 +156,26 @@ def test_turns_without_an_order_are_not_moved(spark):
     got = {(r["conv_id"], r["turn"]): r["looked_up"] for r in out.collect()}
     assert got[1, 0]["price_inr"] == "x" and got[1, 1] is None and got[2, 0] is None
     assert len(got) == 3
+
+
+def test_permuted_scores_are_counted_without_their_rows(spark):
+    rnd = random.Random(5)
+    rows = [(i if i != 3 else None, rnd.choice([100.0, 5e4, 3000.5, None]), rnd.randint(0, 70) * 1.0,
+             rnd.randint(0, 2000), rnd.randint(0, 4), rnd.choice([0, 1, 2, None]), rnd.randint(1, 21),
+             rnd.randint(0, 1), rnd.choice(["Home", "Apparel", None]),
+             rnd.choice(["COD", "Wallet"]), rnd.choice([0, 0, 1])) for i in range(400)]
+    df = spark.createDataFrame(rows, (
+        "id bigint, price_inr double, discount_pct double, customer_tenure_days bigint, "
+        "num_previous_orders bigint, num_previous_returns bigint, delivery_days bigint, "
+        "is_weekend_order int, product_category string, payment_method string, returned int"))
+    scores = I.permuted_rule_scores(df, "id", S.RULE_INPUTS, 4)
+    assert scores.where("score is null").count() > 0
+    wanted = sorted(map(tuple, roc_auc(scores, ["repeat", "feature"]).select(
+        "repeat", "feature", "positives", "negatives", "auc").collect()))
+    assert len(wanted) == 4 * len(S.RULE_INPUTS)
+    for block_rows in (37, 1000):
+        found = I.permuted_rule_aucs(df, "id", S.RULE_INPUTS, 4, block_rows=block_rows)
+        assert sorted(map(tuple, found.select(
+            "repeat", "feature", "positives", "negatives", "auc").collect())) == wanted
+    assert "Generate explode(array(price_inr" not in _plan(found)
+    assert I.permuted_rule_aucs(df.limit(0), "id", S.RULE_INPUTS, 4).count() == 0
