@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from orderlens import constants as C
@@ -12,6 +14,7 @@ from orderlens.operators import catalog as K
 from orderlens.operators import importance as I
 from orderlens.operators import retrieval as R
 from orderlens.operators import state as ST
+from orderlens.operators import topk
 from orderlens.operators.metrics import roc_auc
 from orderlens.plans.catalogue import all_queries
 
@@ -179,3 +182,46 @@ def test_permuted_scores_are_counted_without_their_rows(spark):
             "repeat", "feature", "positives", "negatives", "auc").collect())) == wanted
     assert "Generate explode(array(price_inr" not in _plan(found)
     assert I.permuted_rule_aucs(df.limit(0), "id", S.RULE_INPUTS, 4).count() == 0
+
+
+@pytest.mark.parametrize("limit", [topk.MAX_CELLS, 500])
+def test_many_queries_pass_the_corpus_once(spark, monkeypatch, limit):
+    rng = np.random.default_rng(3)
+
+    def rows(n, least):
+        out = []
+        for i in range(n):
+            terms = rng.choice(300, int(rng.integers(least, 30)), replace=False)
+            weights = np.round(rng.random(len(terms)) + 0.1, 1)
+            out.append((i, [f"t{t}" for t in terms], (weights / np.linalg.norm(weights)).tolist()))
+        return out
+
+    held, asked = rows(400, 0), rows(2500 if limit > 500 else 60, 0)
+    held += [(i + 400, *held[i][1:]) for i in range(100)]  # equal rows tie
+    matrices = []
+    for part in (held, asked):
+        matrices.append(np.zeros((len(part), 300)))
+        for i, terms, weights in part:
+            matrices[-1][i, [int(t[1:]) for t in terms]] = weights
+    corpus = spark.createDataFrame(
+        [(i, 0, t, w) for i, t, w in held],
+        "doc_id bigint, pos int, terms array<string>, weights array<double>").repartition(3)
+    queries = spark.createDataFrame(
+        asked, "query_id bigint, terms array<string>, weights array<double>")
+    passes = []
+    real = topk._stream
+    monkeypatch.setattr(topk, "_stream", lambda *a: (passes.append(1), real(*a))[1])
+    got = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"])
+           for r in topk.sparse_top_k(corpus, queries, 5, limit).collect()}
+    assert limit == 500 or len(passes) == 1
+    scores = np.round(matrices[1] @ matrices[0].T, 9)
+    want = {(i, rank): (int(d), row[d]) for i, row in enumerate(scores)
+            for rank, d in enumerate(np.lexsort((np.arange(len(held)), -row))[:5], 1) if row[d] > 0}
+    assert got.keys() == want.keys()
+    assert all(got[x][0] == want[x][0] and abs(got[x][1] - want[x][1]) < 1e-8 for x in want)
+    # Slab by slab, as a task does it.
+    block, table = topk.PostingBlock(queries.toArrow()), corpus.toArrow()
+    slabs = [table.slice(i, 60) for i in range(0, len(held), 60)]
+    local = {(int(q), rank): int(d) for query, docs, _, _ in block.best(iter(slabs), 5)
+             for rank, (q, d) in enumerate(zip(block.ids[query], docs), 1)}
+    assert local == {x: d for x, (d, _) in want.items()}
