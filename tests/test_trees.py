@@ -138,3 +138,10 @@ def test_cut_points_follow_the_weight():
     assert len(even) == 31 and np.allclose(np.diff(even), 31.25, atol=1)
     heavy = TR._cuts(x, 1 - ones, ones, (1.0, 9.0))
     assert (heavy > 500).sum() == pytest.approx(0.9 * 32, abs=2)
+
+
+def test_a_forest_beyond_the_heap_is_a_plain_error(raw, monkeypatch):
+    monkeypatch.setattr(ML, "SPARK_ROWS", 0)
+    monkeypatch.setattr(ML, "BYTES_A_NODE", 2**60)
+    with pytest.raises(ValueError, match="give the driver more memory"):
+        ML.fit_pipeline(raw, SPEC, P.Preprocessor.fit(raw, SPEC), 2, 2, 5)
